@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -12,7 +14,8 @@ import numpy as np
 #: Unicode class for decades; texts with anything above go to the library whole.
 _PLAIN_TOP = 0x250
 _ODD = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
-_MEMO_MAX = 400_000
+#: Entries of the chunk table (the piece table holds half as many); the newer half stays when one is full.
+_MEMO_MAX = 700_000
 _LONG_WORD = 48
 
 
@@ -22,6 +25,21 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_symbols() -> dict[str, int]:
+    """The printable stand-ins for bytes in byte-level files: printable Latin-1 bytes stand for themselves, the others count up from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+def remember(memo: dict, key, value, most: int) -> None:
+    """Put an entry into a bounded table; when it is full the older half is forgotten."""
+    if len(memo) >= most:
+        for old in list(islice(memo, most // 2)):
+            del memo[old]
+    memo[key] = value
+
+
 def _classes() -> tuple[str, str]:
     of = lambda kind: "".join(re.escape(chr(c)) for c in range(_PLAIN_TOP + 0x100) if unicodedata.category(chr(c))[0] == kind)
     return of("L"), of("N")
@@ -41,11 +59,9 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        vocab = self.library.get_vocab(with_added_tokens=True)
-        self.size = max(vocab.values()) + 1
-        self.ends = np.zeros(self.size, bool)
-        for token, i in vocab.items():
-            self.ends[i] = token.endswith("</w>")
+        self.symbol = {b: c for c, b in byte_symbols().items()}
+        self.words_as_they_are = re.compile("[!-~]+").fullmatch
+        self.pieces: dict[str, bytes] = {}
         letters, numbers = _classes()
         self.piece = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
         self.memo: dict[str, bytes] = {}
@@ -53,35 +69,33 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        pieces, counts = [], []
-        for c in chunks:
-            found = self.piece.findall(c)
-            pieces += found
-            counts.append(len(found))
-        ids = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(pieces):
-            return {c: self._whole(c) for c in chunks}
-        edge = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(counts)])] * 4
-        raw = ids.tobytes()
-        return {c: raw[a:b] for c, a, b in zip(chunks, edge[:-1].tolist(), edge[1:].tolist(), strict=True)}
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            word = piece if self.words_as_they_are(piece) else "".join([self.symbol[b] for b in piece.encode()])
+            ids = [t.id for t in self.library.model.tokenize(word)]
+            known = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) <= _LONG_WORD:
+                remember(self.pieces, piece, known, _MEMO_MAX // 2)
+        return known
+
+    def _learn(self, chunk: str) -> bytes:
+        known = self.memo.get(chunk)
+        if known is None:
+            pieces = self.piece.findall(chunk)
+            known = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self._piece(p) for p in pieces])
+            if len(chunk) <= _LONG_WORD:
+                remember(self.memo, chunk, known, _MEMO_MAX)
+        return known
 
     def encode(self, text: str) -> bytes:
         if _ODD.search(text) or ("<|" in text and any(s in text for s in self.special)):
             return self._whole(text)
         chunks = text.lower().split()
-        memo = self.memo
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            pass
-        fresh = self._learn([c for c in dict.fromkeys(chunks) if c not in memo])
-        out = b"".join([memo[c] if c in memo else fresh[c] for c in chunks])
-        if len(memo) + len(fresh) > _MEMO_MAX:
-            memo.clear()
-        memo.update((c, v) for c, v in fresh.items() if len(c) <= _LONG_WORD)
-        return out
+        found = list(map(self.memo.get, chunks))
+        if None in found:
+            found = [self._learn(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
+        return b"".join(found)
 
 
 @lru_cache(2)
