@@ -208,3 +208,22 @@ def near_duplicates(docs: DataFrame, words_a_shingle: int = 3, radius: int = RAD
 
 def hexadecimal(fp: str = "fp") -> F.Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each component the rows of its smallest doc_id.
+
+    Rows that repeat an id stay or go together; rows without an id stay unless their group has a named document.
+    """
+    found = near_duplicates(docs, radius=radius)
+    gone = found.where("component_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> component_id)")
+    named = common.materialise(gone.where("doc_id IS NOT NULL").select("doc_id").distinct(), "near-copies")
+    kept = docs.where(F.col("doc_id").isNotNull()).join(named, "doc_id", "left_anti")
+    nameless = docs.where(F.col("doc_id").isNull())
+    if nameless.head(1):
+        lone = found.where("doc_id IS NULL AND component_id IS NULL").select("fp").distinct()
+        same = nameless.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+        prints = fingerprints(same.select(F.monotonically_increasing_id().alias("doc_id"), "text"))
+        texts = same.withColumn("_row", F.monotonically_increasing_id()).join(prints.withColumnRenamed("doc_id", "_row"), "_row").join(lone, "fp", "left_semi")
+        kept = kept.unionByName(texts.select(*docs.columns))
+    return kept.select(*docs.columns)
