@@ -15,7 +15,7 @@ import numpy as np
 _PLAIN_TOP = 0x250
 _ODD = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
 #: Entries of the chunk table (the piece table holds half as many); the newer half stays when one is full.
-_MEMO_MAX = 700_000
+_MEMO_MAX = 400_000
 _LONG_WORD = 48
 
 
