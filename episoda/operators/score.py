@@ -84,13 +84,15 @@ def actions(code_list: Column) -> Column:
 
 
 def report(structural: DataFrame, image: DataFrame, value: DataFrame, flags: DataFrame, files: DataFrame, thresholds: DataFrame, valid_tasks: tuple[int, ...] = (0, 1)) -> DataFrame:
-    """One row per episode of files(dataset, episode_index, source_file, defect).
+    """One row per episode of files(dataset, episode_index, source_file, footer_rows, defect).
 
     Episodes missing from a profile count as unreadable there when the inventory names a defect: `corrupt` for the whole file,
-    `missing_column:<part>` (structural, image or value) for one modality, `unreadable` otherwise.
+    `missing_column:<part>` (structural, image or value) for one modality, `unreadable` otherwise, or when a file has rows but none was read.
     """
     values = value.withColumnRenamed("rows", "v_rows").withColumnsRenamed({c: f"v_{c}" for c in ("state_abs_max", "action_abs_max", "state_action_rmse_p99", "state_action_max_p99", "state_step_p99", "state_step_max", "action_step_p99", "action_step_max")})
     joined = files.join(structural, KEYS, "full").join(image.withColumnRenamed("rows", "i_rows"), KEYS, "full").join(values, KEYS, "full").join(rules.frame_evidence(flags), KEYS, "left")
+    unread = F.coalesce(F.col("footer_rows") > 0, F.lit(False)) & F.col("rows").isNull() & F.col("defect").isNull()
+    joined = joined.withColumn("defect", F.when(unread, "unreadable").otherwise(F.col("defect")))
     whole = F.col("defect").isNotNull() & ~F.coalesce(F.col("defect").startswith("missing_column"), F.lit(False))
     part = lambda p: F.coalesce(F.col("defect") == f"missing_column:{p}", F.lit(False))
     joined = joined.withColumns({f"{p}_read_ok": ~(F.coalesce(whole, F.lit(False)) | part(p)) for p in ("structural", "image", "value")})

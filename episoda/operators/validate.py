@@ -30,10 +30,10 @@ def leave_one_out(df: DataFrame, key: str, value: str, q: float, floor: float, m
     if n_top is None or n_top.r is None:
         return sizes.select(key, F.col("own").alias("n"), F.lit(float(floor)).alias("threshold"), F.lit(0).cast("bigint").alias("flagged"))
     top = x.orderBy(F.desc("x"), key).limit(n_top.r)  # distributed top-k
-    top = top.withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("x"), key)))  # n_top rows: the largest key and the tail
+    top = top.withColumn("_k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("x"), key)))  # n_top rows: the largest key and the tail
     held = sizes.crossJoin(F.broadcast(total))
-    pairs = held.withColumnRenamed(key, "_held").join(F.broadcast(top.withColumnRenamed(key, "_from")), F.col("_held") != F.col("_from"))
-    w = Window.partitionBy("_held").orderBy(F.desc("x"), "_from", "k")
+    pairs = held.withColumnRenamed(key, "_held").join(top.withColumnRenamed(key, "_from"), F.col("_held") != F.col("_from"))  # reference episodes by their largest values
+    w = Window.partitionBy("_held").orderBy(F.desc("x"), "_from", "_k")
     ranked = pairs.withColumn("r", F.row_number().over(w))
     others = F.col("total") - F.col("own")
     place = (others - 1) * (1 - q)  # from the top, counted from 0
