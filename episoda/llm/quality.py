@@ -56,26 +56,28 @@ class Network:
             "level": np.zeros(1, np.float32),
         }
 
-    def _halves(self, blocks: np.ndarray) -> np.ndarray:
-        """Max of each filter over each half chunk: (half chunks, filters)."""
+    def _halves(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Max of each filter over each half chunk, (half chunks, filters): with and without the last place, whose filter reaches into the next half."""
         p = self.p
         cells = p["embed"][blocks].reshape(-1, EMBED * STRIDE)
         both = cells @ np.concatenate([p["left"], p["right"]], 1)
         a = both[:, :FILTERS]
         a[:-1] += both[1:, FILTERS:]
-        return a.reshape(-1, _HALF, FILTERS).max(1)
+        by_half = a.reshape(-1, _HALF, FILTERS)
+        inner = by_half[:, :-1].max(1)
+        return np.maximum(inner, by_half[:, -1]), inner
 
     def score(self, raws: list[bytes]) -> np.ndarray:
         """Probability of label 1 of whole texts."""
         p = self.p
         blocks = [_blocks(r) for r in raws]
-        halves = np.maximum(self._halves(np.concatenate(blocks)) + p["shift"], 0)
+        halves, inner = self._halves(np.concatenate(blocks))
         counts = np.array([len(b) // HOP for b in blocks])
         ends = np.cumsum(counts)
         first = np.ones(len(halves), bool)
         first[ends - 1] = False  # a chunk is a half and the next one of the same text
         at = np.flatnonzero(first)
-        pooled = np.maximum(halves[at], halves[at + 1])
+        pooled = np.maximum(np.maximum(halves[at], inner[at + 1]) + p["shift"], 0)
         owner = np.repeat(np.arange(len(raws)), counts)[at]
         starts = np.searchsorted(owner, np.arange(len(raws)))
         left = np.array([len(r) for r in raws])[owner] - (at - (ends - counts)[owner]) * HOP
@@ -87,21 +89,21 @@ class Network:
 
     def gradients(self, chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean logistic loss and gradients; chunks (documents, chunks, CHUNK) of bytes, fill and valid (documents, chunks)."""
-        p, (n, c, _) = self.p, chunks.shape
+        p, (n, c, _), kind = self.p, chunks.shape, self.p["embed"].dtype
         cells = p["embed"][chunks].reshape(n * c, CHUNK // STRIDE, EMBED * STRIDE)
         conv = cells[:, :-1] @ p["left"] + cells[:, 1:] @ p["right"] + p["shift"]
         where = conv.argmax(1)
         peak = np.take_along_axis(conv, where[:, None], 1)[:, 0]
-        x = np.concatenate([np.maximum(peak, 0), fill.reshape(-1, 1)], 1).astype(np.float32)
+        x = np.concatenate([np.maximum(peak, 0), fill.reshape(-1, 1)], 1).astype(kind)
         h = np.maximum(x @ p["dense"] + p["bias"], 0).reshape(n, c, HIDDEN)
         masked = np.where(valid[:, :, None], h, -1)
         top = masked.argmax(1)
         most = np.take_along_axis(masked, top[:, None], 1)[:, 0]
-        share = (valid / valid.sum(1, keepdims=True)).astype(np.float32)
+        share = (valid / valid.sum(1, keepdims=True)).astype(kind)
         doc = np.concatenate([most, (h * share[:, :, None]).sum(1)], 1)
         q = 1 / (1 + np.exp(-np.clip(doc @ p["out"] + p["level"], -30, 30)))
         loss = float(-(y * np.log(q + 1e-9) + (1 - y) * np.log(1 - q + 1e-9)).mean())
-        d = ((q - y) / n).astype(np.float32)
+        d = ((q - y) / n).astype(kind)
         g = {"out": doc.T @ d, "level": d.sum(keepdims=True)}
         dh = d[:, None, None] * p["out"][HIDDEN:] * share[:, :, None]
         np.put_along_axis(dh, top[:, None], np.take_along_axis(dh, top[:, None], 1) + (d[:, None] * p["out"][:HIDDEN])[:, None], 1)
@@ -116,7 +118,7 @@ class Network:
         back = np.concatenate([dp[:, :, None] * p["left"].T, dp[:, :, None] * p["right"].T], 2).reshape(-1, EMBED)
         first = where * STRIDE
         hit = chunks.reshape(n * c, CHUNK)[rows[:, :, None], first[:, :, None] + np.arange(2 * STRIDE)].ravel()
-        g["embed"] = np.stack([np.bincount(hit, back[:, k], 256) for k in range(EMBED)], 1).astype(np.float32)
+        g["embed"] = np.stack([np.bincount(hit, back[:, k], 256) for k in range(EMBED)], 1).astype(kind)
         return loss, g
 
 
