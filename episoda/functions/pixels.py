@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,23 +13,26 @@ from episoda.functions import png
 
 LUMA = np.array([0.299, 0.587, 0.114])
 THUMB = 64
+#: Images that are decoded together; bounds a task's memory.
+TOGETHER = 64
 
 METRICS = "width int, height int, channels int, mean_luma double, std_luma double, dark_fraction double, bright_fraction double, gradient_energy double, laplacian_var double, chroma_spread double, noise_residual double, ahash string, thumb binary"
 _NAMES = [x.split()[0] for x in METRICS.split(", ")]
 
 
-def resample(grey: np.ndarray, size: int) -> np.ndarray:
-    """Antialiased bilinear (triangle filter whose support grows with the reduction), rounded to whole grey levels."""
+@lru_cache(64)
+def _weights(n: int, size: int) -> np.ndarray:
+    scale = n / size
+    support = max(1.0, scale)
+    centre = (np.arange(size) + 0.5) * scale
+    w = np.maximum(0, 1 - np.abs((np.arange(n) + 0.5)[None, :] - centre[:, None]) / support)
+    return w / w.sum(1, keepdims=True)
 
-    def weights(n: int) -> np.ndarray:
-        scale = n / size
-        support = max(1.0, scale)
-        centre = (np.arange(size) + 0.5) * scale
-        w = np.maximum(0, 1 - np.abs((np.arange(n) + 0.5)[None, :] - centre[:, None]) / support)
-        return w / w.sum(1, keepdims=True)
 
-    across = np.floor(grey @ weights(grey.shape[1]).T + 0.5)
-    return np.clip(np.floor(weights(grey.shape[0]) @ across + 0.5), 0, 255)
+def resample(grey: np.ndarray, size: int) -> np.ndarray:
+    """Antialiased bilinear (triangle filter whose support grows with the reduction), rounded to whole grey levels."""
+    across = np.floor(grey @ _weights(grey.shape[1], size).T + 0.5)
+    return np.clip(np.floor(_weights(grey.shape[0], size) @ across + 0.5), 0, 255)
 
 
 def laplacian(grey: np.ndarray) -> np.ndarray:
@@ -38,7 +42,11 @@ def laplacian(grey: np.ndarray) -> np.ndarray:
 
 def measure(payload: bytes) -> dict:
     """All measures of one image; raises PngError for anything that is not a whole image."""
-    pixels = png.decode(payload)
+    return measures(png.decode(payload))
+
+
+def measures(pixels: np.ndarray) -> dict:
+    """All measures of decoded pixels (height, width, channels)."""
     rgb = png.to_rgb(pixels).astype(np.float64)
     grey = rgb @ LUMA
     whole = np.floor(grey + 0.5)
@@ -61,16 +69,16 @@ def decode_rows(keys: list[str]):
     """A mapInArrow function over (keys..., payload): keys, payload_present, decode_ok, byte_size, sha1, error and the measures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
             rows = []
-            for payload in batch.column("payload").to_pylist():
+            payloads = batch.column("payload").to_pylist()
+            decoded = iter(png.decode_many([x for x in payloads if x]))
+            for payload in payloads:
                 row = dict.fromkeys(_NAMES)
                 row |= {"payload_present": bool(payload), "decode_ok": False, "byte_size": len(payload or b""), "sha1": hashlib.sha1(payload).hexdigest() if payload else "", "error": "" if payload else "missing payload", "ahash": ""}
                 if payload:
-                    try:
-                        row |= measure(payload) | {"decode_ok": True}
-                    except png.PngError as e:
-                        row["error"] = str(e)
+                    image = next(decoded)
+                    row |= {"error": str(image)} if isinstance(image, png.PngError) else measures(image) | {"decode_ok": True}
                 rows.append(row)
             schema = pa.schema([*(batch.schema.field(k) for k in keys), *_fields()])
             made = pa.Table.from_pylist(rows, pa.schema(_fields())).combine_chunks()

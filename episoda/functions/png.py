@@ -48,43 +48,68 @@ def _chunks(data: bytes):
     raise PngError("no end chunk")
 
 
-def _paeth(row: bytearray, above: bytes, step: int) -> None:
-    for i in range(len(row)):
-        a = row[i - step] if i >= step else 0
-        b, c = above[i], above[i - step] if i >= step else 0
-        p = a + b - c
-        pa, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-        row[i] = (row[i] + (a if pa <= pb and pa <= pc else b if pb <= pc else c)) & 255
-
-
 def _unfilter(raw: np.ndarray, step: int) -> np.ndarray:
-    kinds, rows = raw[:, 0], raw[:, 1:].copy()
+    """Undo row filters of equally sized images: raw (images, height, 1 + width * step) to (images, height, width, step).
+
+    A pixel needs its left, upper and upper-left neighbours, so pixels on one anti-diagonal do not depend on each other: the images are
+    sheared until diagonals are contiguous, and each diagonal of all rows of all images is one vector operation.
+    """
+    kinds, n, height = raw[:, :, 0], raw.shape[0], raw.shape[1]
+    width = (raw.shape[2] - 1) // step
+    rows = raw[:, :, 1:].reshape(n, height, width, step)
     if not kinds.any():
         return rows
-    above = np.zeros(rows.shape[1], np.uint8)
-    for y, kind in enumerate(kinds):
-        row = rows[y]
-        if kind == 1:
-            row[:] = np.cumsum(row.reshape(-1, step), 0, dtype=np.uint8).ravel()
-        elif kind == 2:
-            row += above
-        elif kind == 3:
-            line = bytearray(row.tobytes())
-            for i in range(len(line)):
-                line[i] = (line[i] + ((line[i - step] if i >= step else 0) + int(above[i])) // 2) & 255
-            row[:] = np.frombuffer(bytes(line), np.uint8)
-        elif kind == 4:
-            line = bytearray(row.tobytes())
-            _paeth(line, above.tobytes(), step)
-            row[:] = np.frombuffer(bytes(line), np.uint8)
-        elif kind != 0:
-            raise PngError("unknown row filter")
-        above = row
-    return rows
-
-
-def decode(data: bytes) -> np.ndarray:
-    """(height, width, channels) as stored, palettes resolved to RGB; raises PngError on anything short, damaged or unsupported."""
+    if kinds.max() > 4:
+        raise PngError("unknown row filter")
+    if kinds.max() <= 2 and (kinds == kinds[:, :1]).all():
+        out = rows.copy()
+        for k, axis in ((1, 2), (2, 1)):
+            own = kinds[:, 0] == k
+            out[own] = np.cumsum(rows[own], axis, dtype=np.uint8)
+        return out
+    steps = width + height - 1
+    sheared = np.zeros((steps, n, height, step), np.int16)
+    for y in range(height):
+        sheared[y : y + width, :, y] = rows[:, y].transpose(1, 0, 2)
+    mask = {k: (kinds == k)[:, :, None] for k in (1, 2, 3, 4)}
+    use = {k: bool(m.any()) for k, m in mask.items()}
+    left_of, above_left = np.zeros((2, n, height, step), np.int16)
+    above = np.zeros((n, height, step), np.int16)
+    for d in range(steps):
+        lo, hi = max(0, d - width + 1), min(height, d + 1)
+        a, b, c = left_of[:, lo:hi], above[:, lo:hi], above_left[:, lo:hi]
+        now = sheared[d, :, lo:hi]
+        guess = np.zeros_like(now)
+        if use[1]:
+            guess += np.where(mask[1][:, lo:hi], a, 0)
+        if use[2]:
+            guess += np.where(mask[2][:, lo:hi], b, 0)
+        if use[3]:
+            guess += np.where(mask[3][:, lo:hi], (a + b) >> 1, 0)
+        if use[4]:
+            pa, pb = b - c, a - c
+            pc = np.abs(pa + pb)
+            np.abs(pa, out=pa)
+            np.abs(pb, out=pb)
+            best = np.where((pa <= pb) & (pa <= pc), a, np.where(pb <= pc, b, c))
+            guess += np.where(mask[4][:, lo:hi], best, 0)
+        now += guess
+        now &= 255
+        # the next diagonal's neighbours: left is this one, above is this one a row up, and upper left is what was above
+        above_left, above = above, above_left
+        above[:, 1:] = 0
+        above[:, lo + 1 : hi + 1] = now[:, : min(hi, height - 1) - lo]
+        left_of[:, lo:hi] = now
+        if d - width + 1 >= 0:
+            left_of[:, lo] = 0
+    out = np.empty((n, height, width, step), np.uint8)
+    for y in range(height):
+        out[:, y] = sheared[y : y + width, :, y].transpose(1, 0, 2)
+    return out
+
+
+def _parse(data: bytes) -> tuple[tuple, np.ndarray | None, np.ndarray]:
+    """((height, width, samples a pixel, colour), palette, filtered rows)."""
     if data[:8] != _MAGIC:
         raise PngError("not a PNG")
     head, palette, parts = None, None, []
@@ -107,12 +132,42 @@ def decode(data: bytes) -> np.ndarray:
         raise PngError(f"pixel data: {e}") from None
     if len(raw) != height * (1 + width * step):
         raise PngError("pixel data has the wrong length")
-    rows = _unfilter(np.frombuffer(raw, np.uint8).reshape(height, 1 + width * step), step).reshape(height, width, step)
-    if colour == 3:
-        if palette is None or rows.max() >= len(palette):
-            raise PngError("palette index out of range")
-        return palette[rows[:, :, 0]]
-    return rows
+    rows = np.frombuffer(raw, np.uint8).reshape(height, 1 + width * step)
+    if rows[:, 0].max() > 4:
+        raise PngError("unknown row filter")
+    return (height, width, step, colour), palette, rows
+
+
+def decode_many(payloads: list[bytes]) -> list[np.ndarray | PngError]:
+    """Each payload's (height, width, channels) as stored, palettes resolved to RGB, or the error that it has. Images of one size are decoded together."""
+    out: list[np.ndarray | PngError | None] = [None] * len(payloads)
+    groups: dict[tuple, list[tuple[int, np.ndarray | None, np.ndarray]]] = {}
+    for i, data in enumerate(payloads):
+        try:
+            key, palette, rows = _parse(data)
+            groups.setdefault(key, []).append((i, palette, rows))
+        except PngError as e:
+            out[i] = e
+        except (struct.error, ValueError) as e:
+            out[i] = PngError(str(e))
+    for (_, _, step, colour), own in groups.items():
+        pixels = _unfilter(np.stack([rows for *_, rows in own]), step)
+        for (i, palette, _), image in zip(own, pixels, strict=True):
+            if colour != 3:
+                out[i] = image
+            elif palette is None or image.max() >= len(palette):
+                out[i] = PngError("palette index out of range")
+            else:
+                out[i] = palette[image[:, :, 0]]
+    return out
+
+
+def decode(data: bytes) -> np.ndarray:
+    """One image; raises PngError on anything short, damaged or unsupported."""
+    (found,) = decode_many([data])
+    if isinstance(found, PngError):
+        raise found
+    return found
 
 
 def to_rgb(pixels: np.ndarray) -> np.ndarray:

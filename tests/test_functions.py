@@ -82,14 +82,16 @@ def test_png_round_trip(h, w, colour, seed):
     assert (png.decode(png.encode(x)).squeeze() == x.squeeze()).all()
 
 
-def filtered(x: np.ndarray, kind: int) -> bytes:
+def filtered(x: np.ndarray, kind: int, mix: bool = False) -> bytes:
     """A PNG whose rows all use one filter, written the slow way."""
     import struct
     import zlib
 
     h, w, c = x.shape
     raw, above = b"", [0] * (w * c)
-    for row in x.reshape(h, -1).tolist():
+    first = kind
+    for y, row in enumerate(x.reshape(h, -1).tolist()):
+        kind = (first + y) % 5 if mix else first
         out = []
         for i, v in enumerate(row):
             a = row[i - c] if i >= c else 0
@@ -110,6 +112,14 @@ def test_png_filters(kind, channels):
     assert (png.decode(filtered(x, kind)) == x).all()
 
 
+def test_images_of_mixed_filters_are_decoded_together():
+    rng = np.random.default_rng(5)
+    images = [rng.integers(0, 256, (h, w, 3), dtype=np.uint8) for h, w in ((7, 5), (7, 5), (5, 9), (1, 6), (6, 1), (7, 5))]
+    payloads = [filtered(x, [0, 1, 4][i % 3], mix=True) for i, x in enumerate(images)]
+    got = png.decode_many([*payloads, b"bad", payloads[0][:-3]])
+    assert all((a == b).all() for a, b in zip(images, got)) and all(isinstance(e, png.PngError) for e in got[6:])
+
+
 def test_png_refuses_damage():
     good = png.encode(np.arange(48, dtype=np.uint8).reshape(4, 4, 3))
     for bad in (b"", b"not a png", good[:-1], good[:40], good[:50] + bytes([good[50] ^ 1]) + good[51:]):
