@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +46,6 @@ IDENTITY_TERMS = (
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
-_MEMO_MAX, _LONG = 400_000, 64
 
 
 def words(text: str) -> list[str]:
@@ -57,33 +57,43 @@ def features_of(word: str) -> set[str]:
     return {"=" + word} | {s[i : i + n] for n in GRAMS for i in range(len(s) - n + 1)}
 
 
+class Matcher:
+    """Finds which of the given features a list of words has, by one pass of a multi-pattern automaton over the words between their marks."""
+
+    def __init__(self, features: list[str]):
+        found: dict[str, list[int]] = {}
+        for k, f in enumerate(features):
+            found.setdefault(f"^{f[1:]}$" if f[0] == "=" else f, []).append(k)
+        self.automaton = ahocorasick.Automaton()
+        for pattern, own in found.items():
+            self.automaton.add_word(pattern, tuple(own))
+        if found:
+            self.automaton.make_automaton()
+
+    def find(self, own: list[str]) -> set[int]:
+        if not len(self.automaton) or not own:
+            return set()
+        return {k for _, ks in self.automaton.iter(f"^{'$^'.join(own)}$") for k in ks}
+
+
 @dataclass
 class Model:
-    """weights by feature, and the level without any; None as level: no training data."""
+    """Features with their weights, and the level without any; None as level: no training data."""
 
-    weights: dict[str, float]
+    features: list[str]
+    weights: list[float]
     level: float | None
+    matcher: Matcher | None = None
 
-    def __post_init__(self):
-        self.memo: dict[str, tuple[str, ...]] = {}
-
-    def _known(self, chunk: str) -> tuple[str, ...]:
-        own = {f for w in _WORD.findall(chunk) for f in features_of(w) if f in self.weights}
-        found = tuple(sorted(own))
-        if len(self.memo) >= _MEMO_MAX:
-            self.memo.clear()
-        if len(chunk) <= _LONG:
-            self.memo[chunk] = found
-        return found
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"matcher": None}
 
     def score(self, text: str) -> float:
         if self.level is None:
             return 0.0
-        memo, present = self.memo, set()
-        for chunk in set(text.lower().split()):
-            found = memo.get(chunk)
-            present.update(self._known(chunk) if found is None else found)
-        z = self.level + sum(self.weights[f] for f in sorted(present))
+        if self.matcher is None:
+            self.matcher = Matcher(self.features)
+        z = self.level + sum(self.weights[k] for k in sorted(self.matcher.find(words(text))))
         return float(1 / (1 + np.exp(-max(-40.0, min(40.0, z)))))
 
 
@@ -141,9 +151,8 @@ def swaps(sentence: list[str], each: int = 4) -> Iterator[tuple[str, str]]:
 
 def _rows(batches: Iterator[pa.RecordBatch], chosen) -> Iterator[pa.RecordBatch]:
     """Of each training document its label, its selected features, and what each swap in its sentences gains and loses."""
-    at = chosen.value
+    matcher = Matcher(chosen.value)
     named = {t for kind in IDENTITY_TERMS for t in kind}
-    known = lambda ws: sorted({at[f] for w in ws for f in features_of(w) if f in at})
     for batch in common.slices(batches, "text"):
         out: list[list] = [[], [], [], []]
         for y, text in zip(batch.column("y").to_pylist(), common.texts(batch), strict=True):
@@ -153,10 +162,10 @@ def _rows(batches: Iterator[pa.RecordBatch], chosen) -> Iterator[pa.RecordBatch]
                 for sentence in _SENTENCE.findall(text):
                     ws = words(sentence)
                     for a, b in swaps(ws):
-                        before, after = set(known(ws)), set(known([b if w == a else w for w in ws]))
+                        before, after = matcher.find(ws), matcher.find([b if w == a else w for w in ws])
                         gained.append(sorted(after - before))
                         lost.append(sorted(before - after))
-            for column, v in zip(out, (y, known(own), gained, lost), strict=True):
+            for column, v in zip(out, (y, sorted(matcher.find(list(own))), gained, lost), strict=True):
                 column.append(v)
         ints = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], ints), pa.array(out[2], pa.list_(ints)), pa.array(out[3], pa.list_(ints))], ["y", "present", "gained", "lost"])
@@ -169,20 +178,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     rows = common.materialise(rows.groupBy("text").agg(F.max("y").alias("y")), "toxic-sample")
     totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
-        return Model({}, None)
+        return Model([], [], None)
     counted = rows.mapInArrow(_distinct_words, "y int, words array<string>").select("y", F.explode("words").alias("word")).groupBy("word").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     grams = counted.mapInArrow(_grams, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(pos / (totals[1] + 1)) - F.log(neg / (totals[0] + 1))
     sure = F.round(odds - certainty * F.sqrt(1 / pos + 1 / neg), 9)
     best = grams.withColumn("sure", sure).where("sure > 0").orderBy(F.desc("sure"), "feature").limit(features).collect()  # at most `features` rows
-    at = {r.feature: k for k, r in enumerate(best)}
-    chosen = spark.sparkContext.broadcast(at)
+    names = [r.feature for r in best]
+    chosen = spark.sparkContext.broadcast(names)
     got = rows.mapInArrow(partial(_rows, chosen=chosen), "y int, present array<int>, gained array<array<int>>, lost array<array<int>>")
     got = sorted(got.collect(), key=lambda r: (r.y, r.present))  # `sample` rows of selected features
     pairs = [(np.array(a), np.array(b)) for r in got for a, b in zip(r.gained, r.lost, strict=True) if a or b][:most_pairs]
-    w, level = train([(r.y, np.array(r.present)) for r in got], pairs, len(at), counterfactual=counterfactual)
-    return Model({f: float(w[k]) for f, k in at.items()}, level)
+    w, level = train([(r.y, np.array(r.present)) for r in got], pairs, len(names), counterfactual=counterfactual)
+    return Model(names, w.tolist(), level)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
