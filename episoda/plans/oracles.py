@@ -264,4 +264,11 @@ SELECT user_id, max(row) FILTER (t = 1) AS top_row, max(value) FILTER (t = 1) AS
 SELECT unnest(['episodes', 'flagged', 'mean_score']) AS metric, unnest([episodes, flagged, mean_score]) AS value FROM m""",
     "hash_hamming": """WITH d AS (SELECT doc_id, source, lpad(bin(CAST('0x' || substr(sha1(text), 1, 8) AS BIGINT)), 32, '0') AS h FROM documents), e AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN h ELSE '' END AS a, lag(h) OVER (PARTITION BY source ORDER BY doc_id) AS b FROM d)
 SELECT doc_id, CASE WHEN a <> '' AND length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS distance FROM e""",
+    "candidate_disposition": f"""WITH {_OR}, t AS (SELECT episode, {_TIER} AS tier FROM orp WHERE repair_mode IN ('auto_repair', 'mark_and_recollect'))
+SELECT episode, tier, CASE WHEN tier = 'deterministic' THEN 'repair' ELSE 'decide by hand' END AS disposition FROM t""",
+    "ablation_stages": f"""WITH {_REPORT}, st(i, stage, pattern) AS (VALUES (0, 'file_gate', '^(C_PARQUET|C_FILE|C_SCHEMA|T_METADATA)'), (1, 'timing_and_values', '^(C_PARQUET|C_FILE|C_SCHEMA|T_|V_)'), (2, 'all_modalities', '.')),
+e AS (SELECT i, stage, user_id % 2 = 0 AS ref, len(list_filter(codes, lambda c: regexp_matches(c, pattern))) > 0 AS hit FROM rp, st), f AS (SELECT i, len(list_filter(codes, lambda c: regexp_matches(c, pattern))) > 0 AS hit FROM fl, st WHERE user_id % 2 = 1),
+a AS (SELECT i, stage, avg(CASE WHEN ref THEN hit::INT END) AS r, count(*) FILTER (hit AND NOT ref) AS n, avg(CASE WHEN NOT ref THEN hit::INT END) AS x FROM e GROUP BY 1, 2), b AS (SELECT i, count(*) FILTER (hit) AS m, avg(hit::INT) AS y FROM f GROUP BY 1)
+SELECT stage, round(r, 6) AS reference_false_positive_rate, n AS flagged_episodes, round(x, 6) AS flagged_episode_rate, m AS flagged_frames, round(y, 6) AS flagged_frame_rate,
+  coalesce(n - lag(n) OVER (ORDER BY i), 0) AS episode_gain, coalesce(m - lag(m) OVER (ORDER BY i), 0) AS frame_gain FROM a JOIN b USING (i)""",
 }

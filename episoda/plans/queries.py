@@ -432,6 +432,91 @@ def hash_hamming(spark, sf):
     return d.select("doc_id", vectors.hamming(F.when(F.col("doc_id") % 11 != 0, F.col("h")).otherwise(""), F.lag("h").over(w)).alias("distance"))
 
 
+@query
+def candidate_disposition(spark, sf):
+    """Auto-repair candidates with what was decided for their confidence tier; unknown tiers are left to a person."""
+    dim = spark.createDataFrame([("deterministic", "repair"), ("high", "review")], "tier string, disposition string")
+    o = s.order_report(spark, sf).where(F.col("repair_mode").isin("auto_repair", "mark_and_recollect")).withColumn("tier", rules.confidence(F.col("issue_codes")))
+    named = o.join(F.broadcast(dim.where("tier = 'deterministic'")), "tier", "left")  # one row per tier
+    return named.select("episode", "tier", F.coalesce("disposition", F.lit("decide by hand")).alias("disposition"))
+
+
+@query
+def ablation_stages(spark, sf):
+    half = F.when(F.col("episode_index") % 2 == 0, "reference").otherwise("test")
+    a = governance.ablation(s.event_report(spark, sf).withColumn("dataset", half), s.flagged_events(spark, sf).withColumn("dataset", half))
+    return a.select("stage", r6("reference_false_positive_rate"), "flagged_episodes", r6("flagged_episode_rate"), "flagged_frames", r6("flagged_frame_rate"), "episode_gain", "frame_gain")
+
+
+@query
+def bootstrap_interval(spark, sf):
+    from episoda.operators import validate
+
+    d = s.table(spark, sf, "documents").join(s.table(spark, sf, "labels"), "doc_id").select((F.col("quality") == 1).alias("t"), (F.col("n_chars") >= 1500).alias("p"))
+    return validate.bootstrap(d, "t", "p")
+
+
+@query
+def isolation_scores(spark, sf):
+    from episoda.operators import anomaly
+
+    v = s.vectors(spark, sf).select(F.when(F.col("label") < 5, "reference").otherwise("test").alias("dataset"), F.col("vec_id").alias("episode_index"), *[F.get("state", F.lit(i)).alias(f"x{i}") for i in range(6)])
+    return anomaly.isolation_scores(v, [f"x{i}" for i in range(6)], 50, 60)
+
+
+@query
+def sparse_value_repair(spark, sf):
+    """Position spikes put into every 50th vector of a label are pulled back to their neighbours' mean."""
+    from episoda.operators import repair
+
+    v = sequence.number_rows(s.vectors(spark, sf), ["label"], ["vec_id"])
+    n = F.count(F.lit(1)).over(Window.partitionBy("label"))
+    hit = F.col("row") == 10
+    frames = v.select(F.lit("test").alias("dataset"), F.col("label").cast("bigint").alias("episode_index"), "row", F.when(hit, F.concat(F.array(F.lit(3.0)), F.slice("state", 2, 19))).otherwise(F.col("state")).cast("array<float>").alias("state"), n.alias("n"))
+    return repair.repaired_values(frames, "position_spike").select("episode_index", "row", r6(F.get("state", F.lit(0)).cast("double"), "first"), "accepted", "repair_applied", "field")
+
+
+def _faults(spark):
+    """Synthetic episodes with one fault each, run through the whole detector; stage tables go to the shared folder."""
+    import tempfile
+    import uuid
+
+    from episoda.operators import synthetic
+    from episoda.plans import detect
+    from episoda.sources import sinks
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stages-")
+    work = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/faults-{uuid.uuid4().hex}"
+    config = detect.Config(size=(32, 32, 3))
+    raw = sinks.stage(synthetic.frames(spark, n=40), work, "raw")
+    p = detect.profile(synthetic.file_table(raw), synthetic.metadata(raw), raw, work, config)
+    thresholds = sinks.stage(detect.reference_of(p), work, "thresholds")
+    flags, report = detect.detect(p, thresholds, config)
+    return work, config, p, thresholds, sinks.stage(flags, work, "flags"), sinks.stage(report, work, "report")
+
+
+@query
+def injected_faults(spark, sf):
+    """Episode-level precision, recall and F1 over 20 clean and 20 faulty synthetic episodes, overall and by category."""
+    from episoda.operators import synthetic, validate
+
+    *_, report = _faults(spark)
+    return validate.fault_metrics(report, synthetic.labels(spark, n=40))
+
+
+@query
+def repair_recheck(spark, sf):
+    """What the repairs of the synthetic faults achieve, measured by the detector that found them."""
+    from episoda.plans import detect
+
+    work, config, p, thresholds, _, report = _faults(spark)
+    tasks = spark.createDataFrame([("task 0", 0), ("task 1", 1)], "task string, task_index bigint")
+    fixed, _ = detect.repair_all(p, report, tasks)
+    fixed = detect.sinks.stage(fixed, work, "fixed")
+    r = detect.recheck(p, fixed, thresholds, report, f"{work}/again", config)
+    return r.select("episode_index", "kind", s.joined("issue_codes_before"), s.joined("issue_codes_after"), r6("score_gain_measured"), "targeted_codes_removed", "passed_full_recheck")
+
+
 @query
 def file_inventory(spark, sf):
     return inventory.files(spark, sf, "*.parquet").select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
