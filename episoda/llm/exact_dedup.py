@@ -241,12 +241,12 @@ def duplicate_groups(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame
 
 def drop_duplicates(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """The rows of docs that stay, with all their columns. Of rows that repeat id and text one stays."""
-    groups = common.materialise(duplicate_groups(docs, trie_bytes).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "group_size"), "kept-texts")
+    groups = common.materialise(duplicate_groups(docs, trie_bytes).where("doc_id <=> keep_id").groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), "kept-texts")
+    stay = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "n")
     tagged = docs.withColumn("_sha", F.sha2(F.encode(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t-\\r]+", " "), "UTF-8"), 256))
-    same = tagged["_sha"] == groups["_sha"]
-    out = tagged.join(groups.select("_id", "_sha"), same & tagged["doc_id"].eqNullSafe(groups["_id"]), "left_semi")
-    again = common.materialise(out.groupBy("doc_id", "_sha").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_again")), "repeated-rows")
-    if again.head(1):
-        repeated = (out["_sha"] == again["_again"]) & out["doc_id"].eqNullSafe(again["_id"])
-        out = out.join(again, repeated, "left_anti").unionByName(out.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "_sha"]))
-    return out.select(*docs.columns)
+    same = lambda df: (tagged["_sha"] == df["_text"]) & tagged["doc_id"].eqNullSafe(df["_id"])
+    if not stay.where("n > 1").head(1):
+        return tagged.join(stay, same(stay), "left_semi").select(*docs.columns)
+    once, often = stay.where("n = 1"), stay.where("n > 1")
+    repeated = tagged.join(often, same(often), "left_semi").dropDuplicates(["doc_id", "_sha"])
+    return tagged.join(once, same(once), "left_semi").unionByName(repeated).select(*docs.columns)
