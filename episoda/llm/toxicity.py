@@ -100,16 +100,17 @@ class Model:
 def train(rows: list[tuple[int, np.ndarray]], pairs: list[tuple[np.ndarray, np.ndarray]], n_features: int, ridge: float = 1e-5, counterfactual: float = 1.0, steps: int = 400, rate: float = 0.08) -> tuple[np.ndarray, float]:
     """Weights and level of the logistic model. rows: (label, present features); pairs: features (gained, lost) by a swap."""
     y = np.array([r[0] for r in rows], float)
+    share = np.where(y == 1, 0.25 / max(1.0, y.sum()), 0.75 / max(1.0, (1 - y).sum()))  # toxic rows weigh a quarter, however rare
     owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     column = np.concatenate([r[1] for r in rows]).astype(np.int64) if len(owner) else np.zeros(0, np.int64)
     p_owner = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
     p_column = np.concatenate([np.concatenate(x) for x in pairs]).astype(np.int64) if len(p_owner) else np.zeros(0, np.int64)
     p_sign = np.concatenate([np.r_[np.ones(len(a)), -np.ones(len(b))] for a, b in pairs]) if len(p_owner) else np.zeros(0)
-    w, level = np.zeros(n_features), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    w, level = np.zeros(n_features), 0.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, steps + 1):
         z = level + np.bincount(owner, w[column], len(y))
-        d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
+        d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * share
         g = np.bincount(column, d[owner], n_features) + ridge * w
         if len(pairs):
             change = np.bincount(p_owner, p_sign * w[p_column], len(pairs))
