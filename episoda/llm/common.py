@@ -31,11 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation of it.
 
-    A written table also gives later joins a plain shuffle under each side, which adaptive execution can split by skew.
+    Tables stay below the application's id until that folder is removed. A written table also gives later joins a plain shuffle under each side, which adaptive execution can split by skew.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
