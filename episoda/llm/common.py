@@ -19,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share. The cluster names it; only a session without one (a test) gets a local one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _OWN.setdefault(app, _OWN.get(app) or "file://" + tempfile.mkdtemp(prefix="scratch-"))
     return named.rstrip("/")
 
 

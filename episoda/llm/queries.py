@@ -75,4 +75,4 @@ g AS (SELECT doc_id, body, min(doc_id) OVER (PARTITION BY body) AS keep_id, coun
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": _OP5, "op9_license_scan": licenses.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": _OP5, "op7_url_filter": url_filter.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}

@@ -119,3 +119,39 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, depth: int = DEPTH,
     judged = rows.join(learned, ["host", "_template"], "left")
     verdict = F.coalesce("_said", F.when((F.col("labels") > 0) & (F.col("purity") >= purity), "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", name.alias("rule"), verdict.alias("verdict"), F.concat(F.lit("/"), F.array_join("node", "/")).alias("template"), "purity")
+
+
+def oracle_sql(rules: tuple[Rule, ...] = RULES, depth: int = DEPTH, children: int = CHILDREN, z: float = Z, weight: float = WEIGHT, purity: float = PURITY) -> str:
+    """The same verdicts in DuckDB: page_id, host, path, rule, verdict."""
+    url = "coalesce(url, '')"
+    which = "CASE "
+    for i, r in sorted(enumerate(rules), key=lambda x: (-len(x[1].text), -len(x[1].host), x[1].verdict != "block")):
+        which += f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN {i} "
+    which += "END"
+    name = "CASE rule_no " + " ".join(f"WHEN {i} THEN '{r.text}'" for i, r in enumerate(rules)) + " END"
+    said = "CASE rule_no " + " ".join(f"WHEN {i} THEN '{r.verdict}'" for i, r in enumerate(rules)) + " END"
+    shaped = "s"
+    for pattern, stands in SHAPES:
+        shaped = f"regexp_replace({shaped}, '{pattern}', '{stands.replace('$1', chr(92) + '1')}')"
+    parts = [
+        f"u AS (SELECT page_id, translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages)",
+        f"q AS (SELECT *, {which} AS rule_no, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments FROM u)",
+        f"t AS (SELECT *, {said} AS said, {name} AS rule, list_concat(list_transform(segments[1:{depth}], lambda s: {shaped}), CASE WHEN len(segments) > {depth} THEN ['{{more}}'] ELSE [] END) AS template FROM q)",
+        "l0 AS (SELECT host, template, count(said) AS n, count(*) FILTER (said = 'block') AS b, template AS node FROM t GROUP BY 1, 2)",
+    ]
+    for k in range(1, depth + 1):
+        own, rest = f"c{k}.b / nullif(c{k}.n, 0)", f"(pb - c{k}.b) / nullif(pn - c{k}.n, 0)"
+        error = f"sqrt(pb / nullif(pn, 0) * (1 - pb / nullif(pn, 0)) * (1 / nullif(c{k}.n, 0) + 1 / nullif(pn - c{k}.n, 0)))"
+        parts += [
+            f"c{k} AS (SELECT host, node[1:{k - 1}] AS parent, node[{k}] AS segment, sum(n) AS n, sum(b) AS b FROM l{k - 1} WHERE len(node) >= {k} GROUP BY 1, 2, 3)",
+            f"p{k} AS (SELECT host, parent, count(*) AS kinds, sum(n) AS pn, sum(b) AS pb FROM c{k} GROUP BY 1, 2)",
+            f"d{k} AS (SELECT c{k}.host, c{k}.parent, c{k}.segment, CASE WHEN kinds > {children} OR abs({own} - {rest}) <= {z} * {error} THEN '*' ELSE c{k}.segment END AS becomes FROM c{k} JOIN p{k} ON c{k}.host = p{k}.host AND c{k}.parent = p{k}.parent)",
+            f"l{k} AS (SELECT l.host, template, n, b, CASE WHEN becomes IS NULL THEN node ELSE list_concat(parent, [becomes], node[{k + 1}:]) END AS node FROM l{k - 1} l LEFT JOIN d{k} d ON l.host = d.host AND l.node[1:{k - 1}] = d.parent AND l.node[{k}] = d.segment)",
+        ]
+    parts += [
+        f"nodes AS (SELECT host, node, sum(n) AS n, sum(b) AS b FROM l{depth} GROUP BY 1, 2)",
+        f"prior AS (SELECT coalesce(sum(b) / nullif(sum(n), 0), 0) AS prior FROM l{depth})",
+        f"judged AS (SELECT l.host, template, nodes.n AS labels, (nodes.b + {weight} * prior) / (nodes.n + {weight}) AS purity FROM l{depth} l JOIN nodes ON l.host = nodes.host AND l.node = nodes.node, prior)",
+    ]
+    with_all = ",\n".join(parts)
+    return f"WITH {with_all}\nSELECT page_id, t.host, path, rule, coalesce(said, CASE WHEN labels > 0 AND purity >= {purity} THEN 'block' ELSE 'allow' END) AS verdict FROM t LEFT JOIN judged j ON t.host = j.host AND t.template = j.template"

@@ -113,3 +113,22 @@ def test_template_shapes(spark, path):
 
     got = spark.range(1).select(url_filter.template_of(F.lit(path), 4).alias("t")).first().t
     assert got == {"/a/b/c/d/e/f": ["a", "b", "c", "d", "{more}"], "//a//": ["a"], "": [], "/2020-01-02/12/abcdef12/1.html/x": ["{date}", "{n}", "{hex}", "{n}.html", "{more}"]}[path]
+
+
+def test_tree_equals_its_sql(spark, tmp_path):
+    """With purity lowered, so that the learned templates decide as well as the rules."""
+    import duckdb
+
+    import random
+
+    rng = random.Random(4)
+    urls = [f"http://{rng.choice(['a', 'b', 'c.a'])}.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['en', 'de', 'fr', 'ads'])}/{rng.choice(['x', 'y', str(rng.randint(0, 99)), 's' + str(rng.randint(0, 40))])}{rng.choice(['', '/z/1/2/3/4', '.html', '?q'])}" for _ in range(1500)]
+    rules = (url_filter.Rule("block", "net", "/ads/"), url_filter.Rule("block", "a.com", "/de/x"), url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "b.org", "/en/"), url_filter.Rule("allow", "a.com", "/de/y"))
+    df = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, *URLS])], "page_id long, url string")
+    df.coalesce(1).write.parquet(str(tmp_path / "p"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/p/*.parquet'")
+    want = con.execute(url_filter.oracle_sql(rules, purity=0.55)).fetchall()
+    got = url_filter.judge(df, rules, purity=0.55).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert any(r.rule is None and r.verdict == "block" for r in got)
