@@ -214,5 +214,6 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     counts[capacity] = 0
     plan = full + make_plan(counts, capacity)
     shared = spark.sparkContext.broadcast(place_table(plan))
-    ranked = cut.join(by_part.select("part", "length", "before"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", "ids", (F.col("before") + F.col("nth")).alias("rank"))
+    # the counts grow with the input and compress well on disk, so their file size must not lead to a broadcast
+    ranked = cut.join(by_part.select("part", "length", "before").hint("merge"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", "ids", (F.col("before") + F.col("nth")).alias("rank"))
     return ranked.mapInArrow(partial(_place, plan=shared), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long")
