@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-import struct
+import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 from itertools import islice
 
@@ -14,8 +15,9 @@ import numpy as np
 #: Unicode class for decades; texts with anything above go to the library whole.
 _PLAIN_TOP = 0x250
 _ODD = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
-#: Entries of the chunk table (the piece table holds half as many); the newer half stays when one is full.
-_MEMO_MAX = 400_000
+#: Entries of the tables of blank-delimited chunks and of pieces; the newer half stays when one is full. Few chunks suffice: an unknown one
+#: is put together from pieces.
+_CHUNKS_MAX, _PIECES_MAX = 400_000, 200_000
 _LONG_WORD = 48
 
 
@@ -60,7 +62,7 @@ class WordEncoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.symbol = {b: c for c, b in byte_symbols().items()}
-        self.words_as_they_are = re.compile("[!-~]+").fullmatch
+        self.tokenize = self.library.model.tokenize
         self.pieces: dict[str, bytes] = {}
         letters, numbers = _classes()
         self.piece = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
@@ -72,20 +74,22 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            word = piece if self.words_as_they_are(piece) else "".join([self.symbol[b] for b in piece.encode()])
-            ids = [t.id for t in self.library.model.tokenize(word)]
-            known = struct.pack(f"<{len(ids)}I", *ids)
+            word = piece if piece.isascii() and piece.isprintable() else "".join([self.symbol[b] for b in piece.encode()])
+            ids = array("I", [t.id for t in self.tokenize(word)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            known = ids.tobytes()
             if len(piece) <= _LONG_WORD:
-                remember(self.pieces, piece, known, _MEMO_MAX // 2)
+                remember(self.pieces, piece, known, _PIECES_MAX)
         return known
 
     def _learn(self, chunk: str) -> bytes:
         known = self.memo.get(chunk)
         if known is None:
-            pieces = self.piece.findall(chunk)
+            pieces = [chunk] if chunk.isalpha() else self.piece.findall(chunk)
             known = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self._piece(p) for p in pieces])
             if len(chunk) <= _LONG_WORD:
-                remember(self.memo, chunk, known, _MEMO_MAX)
+                remember(self.memo, chunk, known, _CHUNKS_MAX)
         return known
 
     def encode(self, text: str) -> bytes:
