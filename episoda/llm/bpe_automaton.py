@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import chain
 from pathlib import Path
 
 import ahocorasick
@@ -42,7 +42,7 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA
 #: White space that keeps a text from being cut at its blanks first: a blank beside other white space, or any but blanks and newlines.
 _BESIDE = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CHUNKS_MAX, _WORDS_MAX, _LONG = 350_000, 250_000, 64
+_CHUNKS_MAX, _WORDS_MAX, _LONG = 60_000, 450_000, 64
 
 
 class Automaton:
@@ -119,9 +119,12 @@ class Automaton:
         for at, (n, token) in self.matches.iter(word.decode("latin-1")):
             if at >= done:
                 start = at + 1 - n
-                if start == 0 or known(arc[start] << 20 | token) or step(arc[start], token):
-                    done = at + 1
-                    arc[done] = token
+                if start:
+                    fits = known(arc[start] << 20 | token)
+                    if not (step(arc[start], token) if fits is None else fits):
+                        continue
+                done = at + 1
+                arc[done] = token
         out, end, size = [], len(word), self.size
         while end:
             token = arc[end]
@@ -145,29 +148,29 @@ class Codec:
         self.labels = dict(self.automaton.label) | {i: t.encode() for t, i in self.special.items()}
         self.words = regex.compile(WORDS)
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.memo: dict[str, tuple[int, ...]] = {}  # of blank-delimited chunks
-        self.paths: dict[str, tuple[int, ...]] = {}  # of words
+        self.memo: dict[str, bytes] = {}  # of blank-delimited chunks
+        self.paths: dict[str, bytes] = {}  # of words
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         known = self.paths.get(word)
         if known is None:
-            known = self.automaton.path(word.encode("utf-8"))
+            known = array("i", self.automaton.path(word.encode("utf-8"))).tobytes()
             if len(word) <= _LONG:
                 tokens.remember(self.paths, word, known, _WORDS_MAX)
         return known
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> bytes:
         known = self.memo.get(chunk)
         if known is None:
             words = (_ASCII_WORDS if chunk.isascii() else self.words).findall(chunk)
-            known = self._word(words[0]) if len(words) == 1 else tuple(chain.from_iterable([self._word(w) for w in words]))
+            known = self._word(words[0]) if len(words) == 1 else b"".join([self._word(w) for w in words])
             if len(chunk) <= _LONG:
                 tokens.remember(self.memo, chunk, known, _CHUNKS_MAX)
         return known
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> bytes:
         if not text:
-            return []
+            return b""
         if any(x in text for x in _BESIDE) or not (text.isascii() or _WIDE_SPACE.search(text) is None):
             chunks = self.words.findall(text)
         else:
@@ -176,15 +179,16 @@ class Codec:
         found = list(map(self.memo.get, chunks))
         if None in found:
             found = [self._chunk(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return list(chain.from_iterable(found))
+        return b"".join(found)
 
-    def encode(self, text: str) -> list[int]:
+    def encode_ints(self, text: str) -> bytes:
+        """The ids as native 32-bit integers."""
         if self.cut is None or not any(t in text for t in self.special):
             return self._plain(text)
-        out: list[int] = []
-        for part in self.cut.split(text):
-            out += [self.special[part]] if part in self.special else self._plain(part)
-        return out
+        return b"".join(array("i", [self.special[part]]).tobytes() if part in self.special else self._plain(part) for part in self.cut.split(text))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_ints(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         labels = self.labels
@@ -202,10 +206,12 @@ SCHEMA = "doc_id long, ids array<int>, decoded string"
 def _code(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     own = codec(path)
     for batch in common.slices(batches, "text", 2 << 20):
-        coded = [own.encode(t) for t in common.texts(batch)]
-        edges = np.concatenate([[0], np.cumsum([len(x) for x in coded])]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.fromiter(chain.from_iterable(coded), np.int32, int(edges[-1]))))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, pa.array([own.decode(x) for x in coded], pa.string())], ["doc_id", "ids", "decoded"])
+        coded = [own.encode_ints(t) for t in common.texts(batch)]
+        edges = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
+        flat = np.frombuffer(b"".join(coded), np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
+        decoded = [own.decode(flat[a:b].tolist()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
