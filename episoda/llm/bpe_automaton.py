@@ -42,7 +42,7 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA
 #: White space that keeps a text from being cut at its blanks first: a blank beside other white space, or any but blanks and newlines.
 _BESIDE = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CHUNKS_MAX, _WORDS_MAX, _LONG = 60_000, 450_000, 64
+_CHUNKS_MAX, _WORDS_MAX, _LONG = 60_000, 400_000, 64
 
 
 class Automaton:

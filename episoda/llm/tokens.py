@@ -17,7 +17,7 @@ _PLAIN_TOP = 0x250
 _ODD = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
 #: Entries of the tables of blank-delimited chunks and of pieces; the newer half stays when one is full. Few chunks suffice: an unknown one
 #: is put together from pieces.
-_CHUNKS_MAX, _PIECES_MAX = 400_000, 200_000
+_CHUNKS_MAX, _PIECES_MAX = 200_000, 150_000
 _LONG_WORD = 48
 
 
