@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -63,6 +64,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             yield batch.slice(start)
 
 
+def forget_tables() -> None:
+    """Drop the word tables that an earlier operator left in this Python worker; workers are used again and again."""
+    for module, name in (("episoda.llm.tokens", "word_encoder"), ("episoda.llm.bpe_automaton", "codec")):
+        if module in sys.modules:
+            getattr(sys.modules[module], name).cache_clear()
+
+
 def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The texts as UTF-8 bytes; null as empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -164,6 +164,7 @@ _LOCAL = "rep long, doc_ids array<long>, n long, length long, hash long, text_sh
 
 def _local(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
     """One row per distinct text of the task; a full trie is handed on and begun again."""
+    common.forget_tables()
     base, serial = TaskContext.get().partitionId() << 36, 0
     trie = Trie(budget)
 

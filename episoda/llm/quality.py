@@ -173,6 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chunks_a_docum
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    common.forget_tables()
     net = model.value
     for batch in common.slices(batches, "text", 1 << 18, 256):
         scores = net.score(common.raw_texts(batch)) if net is not None else np.full(batch.num_rows, 0.5)

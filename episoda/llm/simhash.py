@@ -51,6 +51,7 @@ def fingerprint(text: bytes, words_a_shingle: int = 3) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], words_a_shingle: int) -> Iterator[pa.RecordBatch]:
+    common.forget_tables()
     for batch in common.slices(batches, "text"):
         fps = np.array([fingerprint(t, words_a_shingle) for t in common.raw_texts(batch)], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])

@@ -196,6 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    common.forget_tables()
     own = model.value
     for batch in common.slices(batches, "text"):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([own.score(t) for t in common.texts(batch)], pa.float64())], [*batch.schema.names, "toxic_score"])
