@@ -1,10 +1,12 @@
 """Isolation forest over episode features: a supplementary, unsupervised channel that never changes a verdict.
 
-The feature table has one row per episode and the forest is fitted on reference episodes only, at most `sample` of them.
+The feature table has one row per episode. Medians, means and deviations come from all reference episodes, and each tree draws its rows from all
+of them.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,64 +28,94 @@ def grow(x: np.ndarray, rng: np.random.Generator, depth: int, limit: int) -> tup
     return (c, cut, grow(x[x[:, c] < cut], rng, depth + 1, limit), grow(x[x[:, c] >= cut], rng, depth + 1, limit))
 
 
-def depth_of(tree: tuple, row: np.ndarray) -> float:
-    d = 0
-    while len(tree) > 1:
-        tree = tree[2] if row[tree[0]] < tree[1] else tree[3]
-        d += 1
-    return d + _harmonic(tree[0])
+def depth_of(tree: tuple, x: np.ndarray) -> np.ndarray:
+    """Depth of every row, all rows of a node together."""
+    out, left = np.zeros(len(x)), [(tree, np.arange(len(x)), 0)]
+    while left:
+        node, own, d = left.pop()
+        if len(node) == 1:
+            out[own] = d + _harmonic(node[0])
+        elif len(own):
+            low = x[own, node[0]] < node[1]
+            left += [(node[2], own[low], d + 1), (node[3], own[~low], d + 1)]
+    return out
 
 
-def forest(x: np.ndarray, trees: int = 200, size: int = 256, seed: int = 0) -> tuple[list[tuple], int]:
-    rng = np.random.default_rng(seed)
-    m = min(size, len(x))
-    limit = int(np.ceil(np.log2(max(2, m))))
-    return [grow(x[rng.choice(len(x), m, replace=False)], rng, 0, limit) for _ in range(trees)], m
-
+def _standardised(batch: pd.DataFrame, columns: list[str], med: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
+    """Gaps filled with the reference's median (0 where it has none), then its mean and population deviation."""
+    x = batch[columns].to_numpy(float)
+    return (np.where(np.isfinite(x), x, med) - mean) / sd
 
-def scores(model: tuple[list[tuple], int], x: np.ndarray) -> np.ndarray:
-    """Between 0 and 1, larger for rows that are isolated sooner."""
-    trees, m = model
-    norm = max(_harmonic(m), 1e-9)
-    return np.array([2 ** (-np.mean([depth_of(t, r) for t in trees]) / norm) for r in x])
 
+def isolation_scores(features: DataFrame, columns: list[str], trees: int = 200, size: int = 256, seed: int = 0) -> DataFrame:
+    """dataset, episode_index, score, threshold, flagged. The threshold is the largest score of a reference episode by the trees that were grown without it.
 
-def _standard(ref: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gaps filled with the reference's median (0 where it has none), then its mean and population deviation."""
-    known = np.isfinite(ref)
-    med = np.array([np.median(ref[known[:, c], c]) if known[:, c].any() else 0.0 for c in range(ref.shape[1])])
-    fill = lambda a: np.where(np.isfinite(a), a, med)
-    ref, other = fill(ref), fill(other)
-    sd = ref.std(0)
+    An episode whose draw is in every tree counts as 0 for the threshold.
+    """
+    numbers = [F.col(c).cast("double").alias(c) for c in columns]
+    rows = features.select("dataset", "episode_index", *numbers)
+    ref = rows.where(F.col("dataset") == "reference")
+    known = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c))
+    medians = ref.agg(F.count("*").alias("n"), *[F.coalesce(F.median(known(c)), F.lit(0.0)).alias(c) for c in columns]).first()
+    if not medians.n:
+        return features.select("dataset", "episode_index", F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("threshold"), F.lit(False).alias("flagged"))
+    filled = [F.coalesce(known(c), F.lit(medians[c])) for c in columns]
+    moments = ref.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)], *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)]).first()
+    med = np.array([medians[c] for c in columns])
+    mean = np.array([moments[f"m{i}"] for i in range(len(columns))])
+    sd = np.array([moments[f"s{i}"] for i in range(len(columns))])
     sd[sd < 1e-9] = 1.0
-    return (ref - ref.mean(0)) / sd, (other - ref.mean(0)) / sd
 
+    # each tree's rows are those with the smallest hashes of (tree, row), out of all reference rows; a task keeps its own smallest only.
+    # half of a small reference is left out of each tree, so that every row has trees that do not know it
+    m = min(size, max(1, medians.n // 2))
+    values = [F.col(c) for c in columns]
 
-def isolation_scores(features: DataFrame, columns: list[str], trees: int = 200, sample: int = 2000, seed: int = 0) -> DataFrame:
-    """dataset, episode_index, score, threshold, flagged. The threshold is the largest score of a reference episode held out of its own forest."""
-    numbers = [F.col(c).cast("double").alias(c) for c in columns]
-    ref = features.where(F.col("dataset") == "reference").select("episode_index", *numbers).orderBy(F.xxhash64("episode_index"), "episode_index").limit(sample).toPandas()  # at most `sample` rows
-    base = ref[columns].to_numpy(float)
-    if not len(base):
-        return features.select("dataset", "episode_index", F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("threshold"), F.lit(False).alias("flagged"))
-    few = max(20, trees // 4) if len(base) > 100 else trees
+    def key(t) -> F.Column:
+        return F.xxhash64(F.lit(seed), t, F.col("episode_index"), *values)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: list[pd.DataFrame] = [pd.DataFrame()] * trees
+        for b in batches:
+            hashes = np.stack(b["_keys"].to_numpy())
+            for t in range(trees):
+                own = b.drop(columns="_keys").assign(_tree=t, _key=hashes[:, t])
+                best[t] = pd.concat([best[t], own.nsmallest(m, "_key")]).nsmallest(m, "_key") if len(best[t]) else own.nsmallest(m, "_key")
+        yield from (x for x in best if len(x))
+
+    named = ", ".join(f"`{c}` double" for c in columns)
+    keyed = ref.select("episode_index", *columns, F.array(*[key(F.lit(t)) for t in range(trees)]).alias("_keys"))
+    drawn = keyed.mapInPandas(draw, f"episode_index bigint, {named}, _tree int, _key bigint")
+
+    def one_tree(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("_key", kind="stable").head(m)
+        t = int(b["_tree"].iloc[0])
+        x = _standardised(b, columns, med, mean, sd)
+        tree = grow(x, np.random.default_rng([seed, t]), 0, int(np.ceil(np.log2(max(2, m)))))
+        return pd.DataFrame({"t": [t], "tree": [pickle.dumps(tree)], "last": [int(b["_key"].iloc[-1])]})
+
+    grown = drawn.groupBy("_tree").applyInPandas(one_tree, "t int, tree binary, last bigint").orderBy("t").collect()  # one row a tree
+    model = [pickle.loads(bytes(r.tree)) for r in grown]
+    last = np.array([r.last for r in grown])
+    spark = features.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    norm = max(_harmonic(m), 1e-9)
+
+    def depths(x: np.ndarray) -> np.ndarray:
+        return np.stack([depth_of(t, x) for t in shared.value], axis=1)
 
     def held_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for i in b["id"]:
-                train, one = _standard(np.delete(base, int(i), 0), base[[int(i)]])
-                out.append(float(scores(forest(train, few, seed=seed), one)[0]) if len(train) else 0.0)
-            yield pd.DataFrame({"s": out})
+            d = depths(_standardised(b, columns, med, mean, sd))
+            without = np.stack(b["_keys"].to_numpy()) > last if len(b) else np.zeros((0, len(last)), bool)
+            n = without.sum(1)
+            yield pd.DataFrame({"s": np.where(n > 0, 2 ** (-(d * without).sum(1) / np.maximum(n, 1) / norm), 0.0)})
 
-    spark = features.sparkSession
-    threshold = spark.range(len(base)).repartition(max(1, min(len(base), 64))).mapInPandas(held_out, "s double").agg(F.max("s").alias("s")).first().s
-    model = spark.sparkContext.broadcast(forest(_standard(base, base)[0], trees, seed=seed))
+    threshold = keyed.mapInPandas(held_out, "s double").agg(F.max("s").alias("s")).first().s
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = _standard(base, b[columns].to_numpy(float))[1]
-            yield b[["dataset", "episode_index"]].assign(score=scores(model.value, x))
+            yield b[["dataset", "episode_index"]].assign(score=2 ** (-depths(_standardised(b, columns, med, mean, sd)).mean(1) / norm))
 
-    scored = features.select("dataset", "episode_index", *numbers).mapInPandas(score, "dataset string, episode_index bigint, score double")
+    scored = rows.mapInPandas(score, "dataset string, episode_index bigint, score double")
     return scored.withColumns({"threshold": F.lit(threshold), "flagged": F.col("score") > threshold})

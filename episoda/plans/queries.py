@@ -461,7 +461,7 @@ def isolation_scores(spark, sf):
     from episoda.operators import anomaly
 
     v = s.vectors(spark, sf).select(F.when(F.col("label") < 5, "reference").otherwise("test").alias("dataset"), F.col("vec_id").alias("episode_index"), *[F.get("state", F.lit(i)).alias(f"x{i}") for i in range(6)])
-    return anomaly.isolation_scores(v, [f"x{i}" for i in range(6)], 50, 60)
+    return anomaly.isolation_scores(v, [f"x{i}" for i in range(6)])
 
 
 @query

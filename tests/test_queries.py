@@ -44,3 +44,15 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(oracles.ORACLE_SQL)))
 def test_other_queries_run(spark, name):
     assert queries.QUERIES[name](spark, SF).count() >= 0
+
+
+def test_isolation_draws_on_all_reference_rows(spark):
+    """Reference rows that a hash order puts last are known to the forest: its cuts tell their values from those far outside."""
+    from pyspark.sql import functions as F
+
+    from episoda.operators import anomaly
+
+    order = [r.id for r in spark.range(2100).orderBy(F.xxhash64("id")).collect()]
+    rows = [("reference", e, float(i % 7) if i < 2000 else 100.0 + i % 7) for i, e in enumerate(order)] + [("test", 5000, 103.0), ("test", 5001, 1000.0)]
+    got = {r.episode_index: r.score for r in anomaly.isolation_scores(spark.createDataFrame(rows, "dataset string, episode_index bigint, a double"), ["a"], 20).collect()}
+    assert len(got) == 2102 and got[5000] < got[5001]
