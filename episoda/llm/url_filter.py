@@ -1,7 +1,7 @@
 """URL filter: explicit rules first, then a path-template tree learned per host.
 
 Every path is a branch of its host's tree, one level a segment. Segments that vary by themselves (numbers, dates, hex strings, numbered
-files) become wildcards by shape; where a parent has more than `children` different segments they become one wildcard; and labelled
+files) become wildcards by shape; siblings without labels become one wildcard, which has no labels either and rejects nothing; and labelled
 siblings whose block rates do not differ beyond `z` standard errors from their siblings' pooled rate are merged. A template is rejected if
 its block rate, smoothed by `weight` pseudo-labels at the corpus's rate, reaches `purity`. Labels are whatever the rules decide.
 
@@ -79,19 +79,19 @@ def template_of(path: Column, depth: int) -> Column:
     return F.when(F.size(segments) > depth, F.concat(shaped, F.array(F.lit("{more}")))).otherwise(shaped)
 
 
-def learn(pages: DataFrame, depth: int = DEPTH, children: int = CHILDREN, z: float = Z, weight: float = WEIGHT) -> DataFrame:
+def learn(pages: DataFrame, depth: int = DEPTH, z: float = Z, weight: float = WEIGHT) -> DataFrame:
     """pages(host, template, block 0/1/null) as (host, template, node, purity): the tree's node for each template and its smoothed block rate."""
     leaves = common.materialise(pages.groupBy("host", "template").agg(F.count("block").alias("n"), F.coalesce(F.sum("block"), F.lit(0)).alias("b")).withColumn("node", F.col("template")), "url-leaves")
     for level in range(1, depth + 1):
         at = leaves.withColumn("parent", F.slice("node", 1, level - 1)).withColumn("segment", F.get("node", F.lit(level - 1)))
         child = at.where(F.col("segment").isNotNull()).groupBy("host", "parent", "segment").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
         child = common.materialise(child, "url-children")
-        above = child.groupBy("host", "parent").agg(F.count("*").alias("kinds"), F.sum("n").alias("pn"), F.sum("b").alias("pb"))
+        above = child.groupBy("host", "parent").agg(F.count_if(F.col("n") == 0).alias("unknown"), F.sum("n").alias("pn"), F.sum("b").alias("pb"))
         rest_n, rest_b = F.col("pn") - F.col("n"), F.col("pb") - F.col("b")
         rate = F.try_divide("pb", "pn")
         error = F.sqrt(rate * (1 - rate) * (F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.lit(1.0), rest_n)))
         alike = F.abs(F.try_divide("b", "n") - F.try_divide(rest_b, rest_n)) <= z * error  # null where a side has no labels
-        to = F.when((F.col("kinds") > children) | alike, F.lit("*")).otherwise(F.col("segment"))
+        to = F.when((F.col("n") == 0) & (F.col("unknown") > 1), F.lit("*")).when(alike, F.lit("{alike}")).otherwise(F.col("segment"))
         pick = child.join(above, ["host", "parent"]).select("host", "parent", "segment", to.alias("to"))
         pick = common.materialise(pick, "url-branches")
         moved = at.join(pick, ["host", "parent", "segment"], "left")

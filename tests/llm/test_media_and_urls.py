@@ -132,3 +132,12 @@ def test_tree_equals_its_sql(spark, tmp_path):
     got = url_filter.judge(df, rules, purity=0.55).select("page_id", "host", "path", "rule", "verdict").collect()
     assert sorted(map(tuple, got)) == sorted(want)
     assert any(r.rule is None and r.verdict == "block" for r in got)
+
+
+@pytest.mark.parametrize("kinds", [12, 13, 40])
+def test_clean_branches_stay_at_any_number_of_siblings(spark, kinds):
+    """Blocked pages of one branch say nothing about siblings without labels, however many there are."""
+    urls = [f"http://a.example.com/de/{i}" for i in range(60)] + [f"http://a.example.com/l{k}/{i}" for k in range(kinds - 1) for i in range(2)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r.verdict for r in url_filter.judge(df).collect()}
+    assert all(v == ("block" if "/de/" in u else "allow") for u, v in got.items())
