@@ -3,19 +3,25 @@
 Construction. The automaton over tokens starts with one state and a loop for each of the 256 bytes: every byte string, unmerged. Merges are
 put in one after the other, each as a gadget. For a merge (a, b) -> c: where an a-arc ends in state p and p has a b-arc to r, the a-arcs are
 led to a copy of p without its b-arc, and every state that had an a-arc gets a c-arc to r. All arcs of one token lead to one state
-throughout, so a merge adds one state at most, and what it does to the transition table is kept as one row (copied from, arc removed, when).
-After the last merge exactly the correct token sequences are accepted, and each byte string has one accepting path.
+throughout, so a merge adds one state at most. After the last merge exactly the correct token sequences are accepted, and each byte string
+has one accepting path.
 
-A transition (state, token) is looked up in a table that is filled from those rows on first use. Encoding walks a word once: the arc that
-ends at each byte position is the only suffix token with a transition from the state its start position is in (a matching automaton over
-the labels finds those tokens). Decoding emits the labels of
-the arcs.
+Compiled form. A c-arc is missing wherever the a-arc of its left part had been taken away before c was made. So arcs are numbered by a
+post-order walk of the tokens under their left parts, parts of one token in the order in which they were made: what one gadget takes from a
+state for good is then one range of arc numbers. A state's row is the sorted list of its missing ranges, compiled once, gadget by gadget, as
+the row of the state it was copied from with one more range; a transition (state, arc) is looked up by bisection of the row. State 0 has no
+missing range: it has an arc for every token.
 
-Texts are cut into words by the file's own pattern first; a word's path does not depend on its surroundings, so paths of frequent words are
-remembered (a bounded table, whose older half is forgotten when it is full).
+Encoding walks a word from state 0: at each byte the longest label first whose arc the state has; at a dead end the last arc is given up and
+the place remembered, so that no (place, arc) is tried twice. As the accepting path is the only one, the first path that reaches the end is it.
+Decoding emits the labels of the arcs.
 
-Defined results: null counts as empty, with no ids; a special token's spelling in a text is that token; empty tables give no rows; further
-columns are ignored.
+Texts are cut into words by the file's own pattern first; a word's path does not depend on its surroundings, so paths of words seen lately
+are remembered (a table of bounded size, whose older half is forgotten when it is full).
+
+Defined results: null counts as empty, with no ids; a special token's spelling in a text is that token; equal rows give equal results, each
+its own row; there are no ties, as a word has one path; a text of any length is coded whole, with memory in proportion to it; null ids are
+kept; empty tables give no rows; further columns are ignored. A file of another kind (normaliser, other word pattern) is refused.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from pathlib import Path
@@ -35,103 +42,135 @@ from pyspark.sql import DataFrame
 
 from episoda.llm import common, tokens
 
-#: The word pattern that byte-level files of this kind are used with.
+#: The word pattern that byte-level files of this kind are used with, and what the file has to say for it.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same over ASCII alone, where \\p{L} is A-Za-z and \\p{N} is 0-9.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
-#: White space that keeps a text from being cut at its blanks first: a blank beside other white space, or any but blanks and newlines.
-_BESIDE = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
-_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CHUNKS_MAX, _WORDS_MAX, _LONG = 60_000, 400_000, 64
+_KIND = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_WORDS_MAX, _LONG = 400_000, 64
 
 
 class Automaton:
+    """Rows of states, the state that each token's arcs lead to, and the number of each token's arc."""
+
     def __init__(self, merges: list[tuple[bytes, bytes]], ids: dict[bytes, int]):
         """merges in order; ids of all byte strings that are tokens, the 256 single bytes among them."""
-        self.ids = ids
-        self.label: dict[int, bytes] = {i: t for t, i in ids.items()}
-        self.never = len(merges) + 1
-        #: of each token: its two parts and the step that made it (bytes: none)
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.made = {i: -1 for i in self.label}
-        #: gadget rows: the arc that a state lacks against the state it was copied from, by (token whose arcs lead there, arc removed)
-        self.removed: dict[tuple[int, int], int] = {}
-        self.state_from: list[int] = [-1]
-        self.state_of = {ids[bytes([b])]: 0 for b in range(256)}
-        self.table: dict[int, bool] = {}
-        for step, (left, right) in enumerate(merges):
-            self._gadget(step, ids[left], ids[right], ids[left + right])
-        self.size = {t: len(x) for t, x in self.label.items()}
-        self.matches = ahocorasick.Automaton()
-        for token in self.state_of:
-            self.matches.add_word(self.label[token].decode("latin-1"), (self.size[token], token))
-        self.matches.make_automaton()
-
-    def _gadget(self, step: int, a: int, b: int, c: int) -> None:
-        self.parts[c], self.made[c] = (a, b), step
-        if a not in self.state_of or b not in self.state_of or not self._has_arc(a, b):
-            return  # a and b never stand side by side: nothing to copy
-        target = self.state_of[b]
-        self.state_from.append(self.state_of[a])
-        self.removed[a, b] = step
-        self.state_of[a] = len(self.state_from) - 1
-        self.state_of[c] = target
-
-    def _has_arc(self, last: int, token: int) -> bool:
-        """Whether the state that `last`'s arcs lead to has a `token` arc.
-
-        The state was copied, copy by copy, from the one of last's right part at the step that made last, and so on down; a copy lacks an
-        arc if it was removed, or if it was to be added for an arc (a token's left part) that had been removed by then.
-        """
-        until, owner = self.never, last
-        while True:
-            above, arc = self.never, token
-            while True:
-                gone = self.removed.get((owner, arc))
-                if gone is not None and gone < until and gone <= above:
-                    return False
-                if arc not in self.parts:
-                    break
-                above, arc = self.made[arc], self.parts[arc][0]
-            if owner not in self.parts:
-                return True
-            until, owner = self.made[owner], self.parts[owner][1]
-
-    def step(self, last: int, token: int) -> bool:
-        key = last << 20 | token
-        known = self.table.get(key)
-        if known is None:
-            if len(self.table) > 2_000_000:
-                self.table.clear()
-            known = self.table[key] = self._has_arc(last, token)
-        return known
-
-    def path(self, word: bytes) -> tuple[int, ...]:
-        """The arcs of the one accepting path that spells `word`.
-
-        A matching automaton over all token labels names, end by end and longest first, the tokens that end there; the first with a
-        transition from the state of its start is the arc.
-        """
-        whole = self.ids.get(word)
-        if whole in self.state_of:  # the first state never loses an arc, so this is the accepting path
-            return (whole,)
-        arc, known, step, done = [-1] * (len(word) + 1), self.table.get, self.step, 0
-        for at, (n, token) in self.matches.iter(word.decode("latin-1")):
-            if at >= done:
-                start = at + 1 - n
-                if start:
-                    fits = known(arc[start] << 20 | token)
-                    if not (step(arc[start], token) if fits is None else fits):
-                        continue
-                done = at + 1
-                arc[done] = token
-        out, end, size = [], len(word), self.size
-        while end:
-            token = arc[end]
-            out.append(token)
-            end -= size[token]
-        out.reverse()
-        return tuple(out)
+        steps = [(ids[a], ids[b], ids[a + b]) for a, b in merges]
+        if len({c for _, _, c in steps}) < len(steps) or any(len(t) == 1 for t in (a + b for a, b in merges)):
+            raise ValueError("two merges make the same token")
+        self._number(steps, [ids[bytes([b])] for b in range(256)])
+        rows, start = [array("i")], {ids[bytes([b])]: 0 for b in range(256)}
+        self.copied_from = [-1]
+        for step, (a, b, c) in enumerate(steps):
+            if a not in start or b not in start or bisect_right(rows[start[a]], self.arc[b]) & 1:
+                continue  # a and b never stand side by side: the gadget changes nothing, and c has no arc
+            target = start[b]
+            rows.append(self._without(rows[start[a]], *self._range(b, step)))
+            self.copied_from.append(start[a])
+            start[a], start[c] = len(rows) - 1, target
+        self.rows = array("i", [x for row in rows for x in row])
+        self.row_at = array("i", np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32).tolist())
+        self.state_of = start
+        del self.parts, self.made, self.first
+        label = {i: t for t, i in ids.items()}
+        self.labels = ahocorasick.Automaton()  # only its trie is used: how far a text runs along some label
+        #: the arcs of state 0, by label: (token, arc number, begin and end of the row of the state it leads to, length, the next shorter label that it begins with)
+        self.arcs: dict[str, tuple] = {}
+        for text, t, s in sorted((label[t].decode("latin-1"), t, s) for t, s in start.items()):
+            shorter = next((self.arcs[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in self.arcs), None)
+            self.arcs[text] = (t, self.arc[t], self.row_at[s], self.row_at[s + 1], len(text), shorter)
+            self.labels.add_word(text, 0)
+        self.most = max(map(len, self.arcs))
+
+    def _number(self, steps: list[tuple[int, int, int]], singles: list[int]) -> None:
+        self.parts: dict[int, list[int]] = {}
+        self.made: dict[int, list[int]] = {}
+        for step, (a, _, c) in enumerate(steps):
+            self.parts.setdefault(a, []).append(c)
+            self.made.setdefault(a, []).append(step)
+        self.arc: dict[int, int] = {}
+        self.first: dict[int, int] = {}  # lowest number below a token
+        for root in singles:
+            stack = [(root, False)]
+            while stack:
+                token, done = stack.pop()
+                if done:
+                    self.arc[token] = len(self.arc)
+                    continue
+                self.first[token] = len(self.arc)
+                stack.append((token, True))
+                stack += [(c, False) for c in reversed(self.parts.get(token, []))]
+
+    def _range(self, b: int, step: int) -> tuple[int, int]:
+        """Arc numbers that a state lacks for good once its b-arc goes at `step`: b and what is built on it from then on."""
+        k = bisect_left(self.made.get(b, []), step)
+        later = self.parts.get(b, [])[k : k + 1]
+        return (self.first[later[0]] if later else self.arc[b]), self.arc[b] + 1
+
+    @staticmethod
+    def _without(row: array, low: int, high: int) -> array:
+        i, j = bisect_left(row, low), bisect_right(row, high)
+        return row[:i] + array("i", [low] * (i % 2 == 0) + [high] * (j % 2 == 0)) + row[j:]
+
+    def has_arc(self, state: int, token: int) -> bool:
+        """The transition table: whether the state has an arc of the token."""
+        return token in self.state_of and not (bisect_right(self.rows, self.arc[token], self.row_at[state], self.row_at[state + 1]) - self.row_at[state]) & 1
+
+    def path(self, word: bytes) -> list[int]:
+        """The arcs of the one accepting path that spells `word`."""
+        text, rows, arcs, longest, most, n = word.decode("latin-1"), self.rows, self.arcs, self.labels.longest_prefix, self.most, len(word)
+        way: list[tuple] = []
+        dead: set[tuple[int, int]] = set()
+        at = low = high = 0
+        found = (arcs.get(text) or self._from(text, longest(text))) if text else None
+        while at < n:
+            while found is not None and ((bisect_right(rows, found[1], low, high) - low) & 1 or (dead and (at + found[4], found[0]) in dead)):
+                found = found[5]
+            if found is not None:
+                way.append(found)
+                _, _, low, high, size, _ = found
+                at += size
+                if at < n:
+                    rest = text[at : at + most]
+                    reach = longest(rest)
+                    found = arcs.get(rest[:reach]) or self._from(rest, reach)
+            else:
+                last = way.pop()
+                dead.add((at, last[0]))
+                at -= last[4]
+                low, high = way[-1][2:4] if way else (0, 0)
+                found = last[5]
+        return [x[0] for x in way]
+
+    def _from(self, text: str, reach: int) -> tuple:
+        """The longest label that begins `text`, which runs `reach` bytes along the labels' trie; a single byte at least."""
+        found = self.arcs.get(text[:reach])
+        while found is None:
+            reach -= 1
+            found = self.arcs.get(text[:reach])
+        return found
+
+
+#: WORDS over ASCII alone, where \\p{L} is A-Za-z and \\p{N} is 0-9; alternatives that differ in their first character are put in another order.
+_ASCII = re.compile(r" ?[A-Za-z]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache(1)
+def _plane_words() -> re.Pattern:
+    """WORDS for texts without characters beyond U+FFFF, with the classes as ranges: one table lookup a character in the re module."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+
+    def ranges(one: str) -> str:
+        return "".join(re.escape(m[0][0]) + ("-" + re.escape(m[0][-1]) if len(m[0]) > 1 else "") for m in regex.finditer(one + "+", every))
+
+    letter, number, space = ranges(r"\p{L}"), ranges(r"\p{N}"), ranges(r"\s")
+    return re.compile(rf" ?[{letter}]+| ?[{number}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+def cut_words(text: str) -> list[str]:
+    """The words of a text by WORDS."""
+    if text.isascii():
+        return _ASCII.findall(text)
+    return (regex.compile(WORDS) if _ASTRAL.search(text) else _plane_words()).findall(text)
 
 
 class Codec:
@@ -139,46 +178,36 @@ class Codec:
 
     def __init__(self, path: str):
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        cut, model = spec["pre_tokenizer"] or {}, spec["model"]
+        if spec["normalizer"] or any(cut.get(k) != v for k, v in _KIND.items()) or model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            raise ValueError(f"{path} is not a byte-level BPE file of the kind this codec compiles")
         symbol = tokens.byte_symbols()
         to_bytes = lambda t: bytes(symbol[c] for c in t)
-        ids = {to_bytes(t): i for t, i in spec["model"]["vocab"].items()}
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        ids = {to_bytes(t): i for t, i in model["vocab"].items()}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.automaton = Automaton([(to_bytes(a), to_bytes(b)) for a, b in pairs], ids)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = dict(self.automaton.label) | {i: t.encode() for t, i in self.special.items()}
-        self.words = regex.compile(WORDS)
+        labels = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        self.labels = pa.array([labels.get(i, b"") for i in range(max(labels) + 1)], pa.large_binary())
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.memo: dict[str, bytes] = {}  # of blank-delimited chunks
-        self.paths: dict[str, bytes] = {}  # of words
+        self.memo: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        known = self.paths.get(word)
+        known = self.memo.get(word)
         if known is None:
             known = array("i", self.automaton.path(word.encode("utf-8"))).tobytes()
             if len(word) <= _LONG:
-                tokens.remember(self.paths, word, known, _WORDS_MAX)
-        return known
-
-    def _chunk(self, chunk: str) -> bytes:
-        known = self.memo.get(chunk)
-        if known is None:
-            words = (_ASCII_WORDS if chunk.isascii() else self.words).findall(chunk)
-            known = self._word(words[0]) if len(words) == 1 else b"".join([self._word(w) for w in words])
-            if len(chunk) <= _LONG:
-                tokens.remember(self.memo, chunk, known, _CHUNKS_MAX)
+                tokens.remember(self.memo, word, known, _WORDS_MAX)
         return known
 
     def _plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if any(x in text for x in _BESIDE) or not (text.isascii() or _WIDE_SPACE.search(text) is None):
-            chunks = self.words.findall(text)
-        else:
-            first, *rest = text.split(" ")
-            chunks = ([first] if first else []) + [" " + x for x in rest]
-        found = list(map(self.memo.get, chunks))
+        words = cut_words(text)
+        found = list(map(self.memo.get, words))
         if None in found:
-            found = [self._chunk(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                found[at] = self._word(words[at])
         return b"".join(found)
 
     def encode_ints(self, text: str) -> bytes:
@@ -190,9 +219,17 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_ints(text), np.int32).tolist()
 
+    def decode_many(self, ids: np.ndarray, edges: np.ndarray) -> list[str]:
+        """The texts of ids[edges[k]:edges[k + 1]]: their arcs' labels, emitted one after the other."""
+        if not len(ids):
+            return [""] * (len(edges) - 1)
+        _, offsets, data = self.labels.take(pa.array(ids)).buffers()
+        at = np.frombuffer(offsets, np.int64)[edges].tolist()
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        return [str(raw[a:b], "utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
+
     def decode(self, ids: list[int]) -> str:
-        labels = self.labels
-        return b"".join([labels[i] for i in ids]).decode("utf-8", "replace")
+        return self.decode_many(np.array(ids, np.int32), np.array([0, len(ids)]))[0]
 
 
 @lru_cache(2)
@@ -210,8 +247,8 @@ def _code(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
         edges = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
         flat = np.frombuffer(b"".join(coded), np.int32)
         ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
-        decoded = [own.decode(flat[a:b].tolist()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        decoded = pa.array(own.decode_many(flat, edges), pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, decoded], ["doc_id", "ids", "decoded"])
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ def test_automaton_accepts_only_what_merging_in_order_gives():
     for k, (x, y) in enumerate(merges):
         ids.setdefault(x + y, 256 + k)
     m = bpe_automaton.Automaton(merges, ids)
-    assert len(m.state_from) <= len(merges) + 1
+    assert len(m.copied_from) <= len(merges) + 1 and not m.has_arc(0, max(ids.values()) + 1)
 
     def by_rules(word):
         seq = [word[i : i + 1] for i in range(len(word))]
@@ -43,7 +43,76 @@ def test_automaton_accepts_only_what_merging_in_order_gives():
     for n in range(1, 12):
         for bits in range(2**n):
             word = bytes(b"ab"[bits >> i & 1] for i in range(n))
-            assert m.path(word) == by_rules(word), word
+            assert tuple(m.path(word)) == by_rules(word), word
+    label = {i: t for t, i in ids.items()}
+    live = {t: label[t] for t in m.state_of if set(label[t]) <= set(b"ab")}
+    for t, x in live.items():
+        for u, y in live.items():
+            assert m.has_arc(m.state_of[t], u) == (by_rules(x + y) == (t, u)), (x, y)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_rows_of_random_automata(seed):
+    """Compiled rows against merging by the rules, over random merge lists: every pair of tokens and random words."""
+    rng = random.Random(seed)
+    known, merges = [b"a", b"b", b"c"], []
+    while len(merges) < 40:
+        x, y = rng.choice(known), rng.choice(known)
+        if x + y not in known and len(x + y) < 9:
+            merges.append((x, y))
+            known.append(x + y)
+    ids = {bytes([i]): i for i in range(256)} | {x + y: 256 + k for k, (x, y) in enumerate(merges)}
+    m = bpe_automaton.Automaton(merges, ids)
+
+    def by_rules(word):
+        seq = [word[i : i + 1] for i in range(len(word))]
+        for x, y in merges:
+            i, out = 0, []
+            while i < len(seq):
+                if seq[i : i + 2] == [x, y]:
+                    out.append(x + y)
+                    i += 2
+                else:
+                    out.append(seq[i])
+                    i += 1
+            seq = out
+        return [ids[t] for t in seq]
+
+    for x in known:
+        assert (ids[x] in m.state_of) == (by_rules(x) == [ids[x]])
+    live = [x for x in known if ids[x] in m.state_of]
+    for x in live:
+        for y in live:
+            assert m.has_arc(m.state_of[ids[x]], ids[y]) == (by_rules(x + y) == [ids[x], ids[y]]), (x, y)
+    for _ in range(400):
+        word = bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 40)))
+        assert m.path(word) == by_rules(word), word
+
+
+def test_long_words_and_texts(library):
+    """One word of a million bytes and a text of many: time and memory grow in proportion."""
+    codec = bpe_automaton.codec(PATH)
+    for text in ("ab" * 200_000, "x" * 300_001, "wordlike thing, " * 60_000, " " * 50_000 + "\n" * 50_000):
+        ids = codec.encode(text)
+        assert codec.decode(ids) == text
+        assert len(text) > 200_000 or ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_cut_as_by_the_pattern():
+    import regex
+
+    rng, slow = random.Random(2), regex.compile(bpe_automaton.WORDS)
+    some = [*map(chr, [*range(0x250), *range(0x2000, 0x2070), 0x1C5, 0x2160, 0x3007, 0x4E00, 0xAC00, 0x1680, 0x3000, 0xFFFD, 0x1D7D8, 0x1F600, 0x20000])] + ["'s", "'ll", "a", " ", "1"] * 9
+    for _ in range(4000):
+        t = "".join(rng.choice(some) for _ in range(rng.randint(0, 20)))
+        assert bpe_automaton.cut_words(t) == slow.findall(t), ascii(t)
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError):
+        bpe_automaton.Codec(tokens.default_path("word_bpe_49k.json"))
+    with pytest.raises(ValueError):
+        bpe_automaton.Automaton([(b"a", b"bc"), (b"b", b"c"), (b"ab", b"c")], {bytes([i]): i for i in range(256)} | {b"bc": 256, b"abc": 257, b"ab": 258})
 
 
 @pytest.mark.parametrize("seed", range(4))
