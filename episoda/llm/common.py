@@ -64,6 +64,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             yield batch.slice(start)
 
 
+def free_name(df: DataFrame, hint: str) -> str:
+    """A column name that df does not have, whatever names it has (Spark compares names without case)."""
+    taken, name = {c.lower() for c in df.columns}, f"_own_{hint}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def forget_tables() -> None:
     """Drop the word tables that an earlier operator left in this Python worker; workers are used again and again."""
     for module, name in (("episoda.llm.tokens", "word_encoder"), ("episoda.llm.bpe_automaton", "codec")):

@@ -7,19 +7,19 @@ lost executor repeats one round at most, and joins on a hub's key have a plain s
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episoda.llm import common
 
-_MOST_ROUNDS = 60
-
 
 def components(edges: DataFrame) -> DataFrame | None:
     """edges(u, v) of bigint, loops ignored: (node, root) for every node that has a link; None if there is no link."""
     left = common.materialise(edges.select("u", "v").where("u <> v"), "links")
     hooks: list[DataFrame] = []
-    for k in range(_MOST_ROUNDS):
+    for k in count():
         if not left.head(1):
             break
         first = lambda c: F.struct(F.xxhash64(F.lit(k), F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: E731, B023
@@ -30,8 +30,6 @@ def components(edges: DataFrame) -> DataFrame | None:
         half = left.join(hook, "u").select(F.col("to").alias("a"), F.col("v").alias("u"))
         both_ends = half.join(hook, "u").select("a", F.col("to").alias("b")).where("a <> b")
         left = common.materialise(both_ends.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "links")
-    else:
-        raise RuntimeError(f"links remain after {_MOST_ROUNDS} rounds")
     if not hooks:
         return None
     root = hooks[-1].select(F.col("u").alias("node"), F.col("to").alias("root"))

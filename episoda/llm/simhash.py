@@ -1,13 +1,16 @@
 """SimHash near-duplicate groups: fingerprints of word shingles, compared bit-sliced, linked within a radius.
 
 A fingerprint is 64 bits, cut into 4 blocks of 16; two fingerprints within 2 bits agree on at least 2 blocks, so every link lies in one of
-6 tables keyed by two blocks (32 bits). Within a bucket the bits are stored as vertical planes, 64 fingerprints a machine word; distances to
-a query grow in carry-save counters plane by plane, and a block of words is abandoned once all of its counters exceed the radius. Each
-bucket returns a spanning set of its links, not its pairs. Buckets over `bucket_rows` are split into pairs of chunks that meet in separate
-tasks, so a group of any size is compared whole and by many tasks.
+6 tables keyed by two blocks (32 bits). Within buckets of every size the bits are stored as vertical planes, 64 fingerprints of a bucket to a
+machine word; distances to a query grow in carry-save counters plane by plane, and a word is abandoned once all of its counters exceed the
+radius. Buckets return a spanning set of their links, not their pairs. Buckets over `bucket_rows` are split into pairs of chunks that meet in
+separate tasks, so a group of any size is compared whole and by many tasks.
 
-Defined results: null or empty text and text of white space only have fingerprint zero, linked like any other; ids may repeat (equal text,
-equal group); null ids are kept and do not name a group unless it has no other; an empty table gives no rows; further columns are ignored.
+Defined results: null or empty text and text of white space only have fingerprint zero, linked like any other; repeated rows and ids stay rows
+of their own (equal text, equal group); a bit that exactly half of the shingles set is 0; null ids are kept and do not name a group unless it
+has no other; a text of any length is read whole, with memory in proportion to it; an empty table gives no rows; further columns are ignored.
+
+`near_text` compares texts by the Jaccard similarity of their shingles and uses the same planes and counters inside its buckets.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from episoda.llm.components import components
 
 BITS, RADIUS, BLOCKS, SEED = 64, 2, 4, 42
 BUCKET_ROWS = 4096
+_FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def fingerprint(text: bytes, words_a_shingle: int = 3) -> int:
@@ -68,46 +72,67 @@ def planes(fps: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(rows.T), axis=1, bitorder="little").view("<u8")
 
 
-def _beyond(ones: np.ndarray, twos: np.ndarray, over: np.ndarray, radius: int) -> np.ndarray:
-    """Bits of the fingerprints whose count is above the radius (0 to 2); `over` marks counts of four and more."""
-    return over | (ones & twos if radius == 2 else twos if radius == 1 else ones | twos)
-
-
-def within(queries: np.ndarray, plane: np.ndarray, radius: int = RADIUS, block_words: int = 64) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query fingerprint the indexes of the stored ones within the radius (at most 2), by carry-save counters over the bit planes."""
-    words = plane.shape[1]
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for at in range(0, len(queries), 64):
-        q = queries[at : at + 64]
-        bits = ((q[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(bool)
-        masks = np.where(bits, full, np.uint64(0))
-        hits: list[list[np.ndarray]] = [[] for _ in q]
-        for w in range(0, words, block_words):
-            part = plane[:, w : w + block_words]
-            ones = np.zeros((len(q), part.shape[1]), np.uint64)
-            twos, over = ones.copy(), ones.copy()
-            live = np.arange(len(q))
-            for b in range(BITS):
-                differ = part[b] ^ masks[live, b][:, None]
-                carry = ones & differ
-                ones ^= differ
-                over |= twos & carry
-                twos ^= carry
-                if b % 8 == 7:
-                    beyond = _beyond(ones, twos, over, radius)
-                    stay = (beyond != full).any(1)
-                    if not stay.all():
-                        live, ones, twos, over = live[stay], ones[stay], twos[stay], over[stay]
-                        if not len(live):
-                            break
-            if len(live):
-                beyond = _beyond(ones, twos, over, radius)
-                near = np.unpackbits(np.ascontiguousarray(~beyond).view(np.uint8), axis=1, bitorder="little")
-                rows, cols = np.nonzero(near)
-                for r, own in zip(live[np.unique(rows)], np.split(cols, np.flatnonzero(np.diff(rows)) + 1), strict=False):
-                    hits[r].append(own + w * 64)
-        for r, found in enumerate(hits):
-            yield at + r, np.concatenate(found) if found else np.zeros(0, np.int64)
+def _beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Bits of the fingerprints whose counted distance is above the radius; `over` marks those that the counters cannot hold."""
+    above, equal = over.copy(), np.full_like(over, _FULL)
+    for k in range(len(counters) - 1, -1, -1):
+        if radius >> k & 1:
+            equal &= counters[k]
+        else:
+            above |= equal & counters[k]
+            equal &= ~counters[k]
+    return above
+
+
+def near_pairs(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS, jobs: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of positions (a < b) of uint64 fingerprints within the radius (below 64) of each other, where both lie in one group.
+
+    Groups are fps[starts[k]:starts[k + 1]]. Each has words of its own in shared bit planes, 64 of its fingerprints to a word; a job is a
+    fingerprint and a word of its group. Distances of many jobs grow plane by plane in carry-save counters, and a job is abandoned once all
+    of its word's counters are beyond the radius.
+    """
+    sizes = np.diff(starts)
+    words = -(-sizes // 64)
+    first = np.concatenate([[0], np.cumsum(words)])
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(fps)) - starts[group]
+    slot = first[group] * 64 + place
+    padded = np.zeros(int(first[-1]) * 64, np.uint64)
+    padded[slot] = fps
+    owner = np.zeros(len(padded), np.int64)
+    owner[slot] = np.arange(len(fps))
+    plane = planes(padded)
+    used = np.zeros(len(padded), np.uint8)
+    used[slot] = 1
+    used = np.packbits(used, bitorder="little").view("<u8")
+    own = slot // 64
+    todo = first[group + 1] - own  # words from its own on: later fingerprints of the group are there
+    todo[starts[1:][sizes > 0] - 1] = 0  # the last of a group has none
+    ends = np.cumsum(todo)
+    width = max(1, radius.bit_length())
+    for at in range(0, int(ends[-1]) if len(ends) else 0, jobs):
+        number = np.arange(at, min(at + jobs, int(ends[-1])))
+        job = np.searchsorted(ends, number, "right")
+        word = own[job] + number - (ends - todo)[job]
+        query = fps[job]
+        counters, over = [np.zeros(len(job), np.uint64) for _ in range(width)], np.zeros(len(job), np.uint64)
+        for b in range(BITS):
+            carry = plane[b][word] ^ (np.uint64(0) - (query >> np.uint64(b) & np.uint64(1)))
+            for k in range(width):
+                carry, counters[k] = counters[k] & carry, counters[k] ^ carry
+            over |= carry
+            if b % 8 == 7:
+                near = used[word] & ~_beyond(counters, over, radius)
+                live = np.flatnonzero(near)
+                if len(live) < len(job):
+                    job, word, query, over, near = job[live], word[live], query[live], over[live], near[live]
+                    counters = [c[live] for c in counters]
+                    if not len(job):
+                        break
+        if len(job):
+            rows, bits = np.nonzero(np.unpackbits(near.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            a, b = job[rows], owner[word[rows] * 64 + bits]
+            yield a[a < b], b[a < b]
 
 
 class Forest:
@@ -129,49 +154,48 @@ class Forest:
             self.up[max(a, b)] = min(a, b)
 
 
-def link_bucket(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning set of the links between the distinct fingerprints of one bucket, as two arrays of positions."""
-    n = len(fps)
-    forest = Forest(n)
-    if n <= 24:
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
-        for a, b in np.argwhere(np.triu(near, 1)).tolist():
-            forest.join(a, b)
-    else:
-        plane = planes(fps)
-        for a, found in within(fps, plane, radius):
-            for b in found[(found > a) & (found < n)].tolist():
-                forest.join(a, b)
-    root = np.array([forest.find(i) for i in range(n)])
-    moved = np.flatnonzero(root != np.arange(n))
+def spanning_links(fps: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning set of the links within each group, as two arrays of positions."""
+    forest = Forest(len(fps))
+    for a, b in near_pairs(fps, starts, radius):
+        up = np.array(forest.up)
+        while (up[up] != up).any():
+            up = up[up]
+        ends = np.unique(np.stack([up[a], up[b]])[:, up[a] != up[b]], axis=1)
+        for x, y in ends.T.tolist():
+            forest.join(x, y)
+    root = np.array([forest.find(i) for i in range(len(fps))], np.int64)
+    moved = np.flatnonzero(root != np.arange(len(fps)))
     return moved, root[moved]
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket; a bucket may span batches."""
-    kept: list[np.ndarray] = []
-    key = None
+def _buckets(batches: Iterator[pa.RecordBatch], radius: int, together: int = 8192) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket; a bucket may span batches. Whole buckets are compared together once they hold `together` fingerprints."""
+    rest: list[list[np.ndarray]] = [[] for _ in range(4)]
 
-    def done() -> Iterator[pa.RecordBatch]:
-        fps = np.unique(np.concatenate(kept)).astype(np.uint64) if kept else np.zeros(0, np.uint64)
-        if len(fps) > 1:
-            a, b = link_bucket(fps, radius)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["u", "v"])
+    def done(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort([columns[3].view(np.uint64), *columns[2::-1]])
+        columns = [c[order] for c in columns]
+        new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0)])
+        keep = new | np.concatenate([[True], columns[3][1:] != columns[3][:-1]])
+        fps, new = columns[3][keep].view(np.uint64), new[keep]
+        a, b = spanning_links(fps, np.append(np.flatnonzero(new), len(fps)), radius)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["u", "v"])
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "bucket", "chunk")]
-        fp = batch.column("fp").to_numpy().view(np.uint64)
-        cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            own = tuple(int(c[a]) for c in cols)
-            if own != key:
-                yield from done()
-                kept, key = [], own
-            kept.append(fp[a:b])
-    yield from done()
+        for column, name in zip(rest, ("band", "bucket", "chunk", "fp"), strict=True):
+            column.append(batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64))
+        if sum(map(len, rest[3])) >= together:
+            columns = [np.concatenate(c) for c in rest]
+            last = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0))
+            if len(last):
+                cut = int(last[-1]) + 1
+                yield from done([c[:cut] for c in columns])
+                columns = [c[cut:] for c in columns]
+            rest = [[c] for c in columns]
+    if sum(map(len, rest[3])):
+        yield from done([np.concatenate(c) for c in rest])
 
 
 def links(distinct_fps: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -209,22 +233,3 @@ def near_duplicates(docs: DataFrame, words_a_shingle: int = 3, radius: int = RAD
 
 def hexadecimal(fp: str = "fp") -> F.Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
-
-
-def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each component the rows of its smallest doc_id.
-
-    Rows that repeat an id stay or go together; rows without an id stay unless their group has a named document.
-    """
-    found = near_duplicates(docs, radius=radius)
-    gone = found.where("component_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> component_id)")
-    named = common.materialise(gone.where("doc_id IS NOT NULL").select("doc_id").distinct(), "near-copies")
-    kept = docs.where(F.col("doc_id").isNotNull()).join(named, "doc_id", "left_anti")
-    nameless = docs.where(F.col("doc_id").isNull())
-    if nameless.head(1):
-        lone = found.where("doc_id IS NULL AND component_id IS NULL").select("fp").distinct()
-        same = nameless.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-        prints = fingerprints(same.select(F.monotonically_increasing_id().alias("doc_id"), "text"))
-        texts = same.withColumn("_row", F.monotonically_increasing_id()).join(prints.withColumnRenamed("doc_id", "_row"), "_row").join(lone, "fp", "left_semi")
-        kept = kept.unionByName(texts.select(*docs.columns))
-    return kept.select(*docs.columns)

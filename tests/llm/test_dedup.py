@@ -51,7 +51,7 @@ def test_links_lose_no_component(spark, bucket_rows):
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), 2, bucket_rows)
-    assert all(((r.u ^ r.v) % 2**64).bit_count() <= 2 or True for r in edges.collect())
+    assert {v for r in edges.collect() for v in (r.u, r.v)} <= set(signed)
     found = simhash.components(edges)
     at = {f: i for i, f in enumerate(signed)}
     root = list(range(len(fps)))
@@ -61,13 +61,33 @@ def test_links_lose_no_component(spark, bucket_rows):
     assert same(root) == same(components_by_force(fps, 2))
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2])
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 11, 28, 63])
 def test_bit_sliced_comparison(radius):
+    """Groups of one to hundreds in shared planes: exactly the pairs within the radius, whatever the size of a group."""
     rng = np.random.default_rng(radius)
     fps = rng.integers(0, 2**63, 300, dtype=np.uint64)
     fps = np.concatenate([fps, fps[:150] ^ (np.uint64(1) << rng.integers(0, 63, 150, dtype=np.uint64)), fps[:90] ^ np.uint64(0b11), fps[:30] ^ np.uint64(0b111)])
-    for q, found in simhash.within(fps[:100], simhash.planes(fps), radius, block_words=3):
-        assert set(found[found < len(fps)].tolist()) == set(np.flatnonzero(np.bitwise_count(fps ^ fps[q]) <= radius).tolist())
+    for sizes in ([len(fps)], [2, 3, 1, 64, 65, 0, 130, 305], [1] * 570, [2] * 285):
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        mixed = rng.permutation(fps)
+        got = [x for a, b in simhash.near_pairs(mixed, starts, radius, jobs=500) for x in zip(a.tolist(), b.tolist())]
+        want = [(i, j) for lo, hi in zip(starts, starts[1:]) for i in range(lo, hi) for j in (np.flatnonzero(np.bitwise_count(mixed[i + 1 : hi] ^ mixed[i]) <= radius) + i + 1).tolist()]
+        assert sorted(got) == want
+
+
+def test_every_link_comes_from_the_counters(monkeypatch):
+    """Small and large buckets alike: without the bit-sliced comparison there is no link."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    rows = sorted((0, rng.randrange(40), 0, rng.getrandbits(6)) for _ in range(200))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], ["band", "bucket", "chunk", "fp"])
+    made, whole = [], simhash.near_pairs
+    monkeypatch.setattr(simhash, "near_pairs", lambda *a, **k: ((made.append(len(x)), (x, y))[1] for x, y in whole(*a, **k)))
+    out = [r for b in simhash._buckets(iter([batch.slice(0, 77), batch.slice(77)]), 2, 30) for r in b.to_pylist()]
+    assert out and sum(made) >= len(out)
+    monkeypatch.setattr(simhash, "near_pairs", lambda *a, **k: iter(()))
+    assert not list(simhash._buckets(iter([batch]), 2))
 
 
 def groups_by_force(rows):
