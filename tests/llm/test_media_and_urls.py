@@ -107,12 +107,39 @@ def test_labelled_template_is_rejected_beyond_the_rules(spark):
     assert got["go", "{n}"].purity > url_filter.PURITY and got["go", "{n}"].labels == 40 and got[("read",)].purity < 0.8
 
 
+def test_unknown_templates_are_judged_by_what_is_above_them(spark):
+    """Nearly all of a host blocked: its unknown branches too. Half of it: not. A host without labels: by its family. A family without: allowed."""
+    rules = (url_filter.Rule("block", "bad.org", "/x/"), url_filter.Rule("block", "half.org", "/x/"), url_filter.Rule("block", "farm.biz", "/x/"))
+    urls = [f"http://bad.org/x/{i}" for i in range(60)] + ["http://bad.org/new/1", "http://bad.org"] + [f"http://half.org/x/{i}" for i in range(30)] + [f"http://half.org/y/{i}" for i in range(30)]
+    urls += [f"http://a{i}.farm.biz/x/1" for i in range(60)] + ["http://z.farm.biz/other/7", "http://clean.com/x/1", "http://localhost/x"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r for r in url_filter.judge(df, rules).collect()}
+    say = lambda u: (got[u].verdict, got[u].decided_by)
+    assert say("http://bad.org/new/1") == say("http://bad.org") == ("block", "tree") and say("http://half.org/y/3") == ("allow", "tree")
+    assert say("http://z.farm.biz/other/7") == ("block", "tree") and say("http://clean.com/x/1") == say("http://localhost/x") == ("allow", "default")
+    assert say("http://bad.org/x/3") == ("block", "rule") and got["http://half.org/y/3"].labels == 30
+
+
+def test_deep_paths_are_whole_templates(spark):
+    deep = "/".join(f"s{i}" for i in range(300))
+    urls = [f"http://h.net/{deep}/{k}" for k in ("a", "b")] + ["http://h.com/q/" + deep, "http://h.com/q/1/2/3/4/5/6/7", "http://h.com/q/1/2/3/4/5/6/8"]
+    df = spark.createDataFrame(list(enumerate(urls[2:])), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert len(got) == 3 and all(r.verdict == "allow" for r in got.values()) and got[0].template.count("/") == 301
+
+
+def test_rows_decided_by_the_tree_on_the_supplied_table(spark):
+    df = url_filter.judge(spark.read.parquet(f"{SF}/pages.parquet"))
+    by = {r.decided_by: r["count"] for r in df.groupBy("decided_by").count().collect()}
+    assert by["tree"] > 0 and by["rule"] > 0
+
+
 @pytest.mark.parametrize("path", ["/a/b/c/d/e/f", "//a//", "", "/2020-01-02/12/abcdef12/1.html/x"])
 def test_template_shapes(spark, path):
     from pyspark.sql import functions as F
 
-    got = spark.range(1).select(url_filter.template_of(F.lit(path), 4).alias("t")).first().t
-    assert got == {"/a/b/c/d/e/f": ["a", "b", "c", "d", "{more}"], "//a//": ["a"], "": [], "/2020-01-02/12/abcdef12/1.html/x": ["{date}", "{n}", "{hex}", "{n}.html", "{more}"]}[path]
+    got = spark.range(1).select(url_filter.template_of(F.lit(path)).alias("t")).first().t
+    assert got == {"/a/b/c/d/e/f": ["a", "b", "c", "d", "e", "f"], "//a//": ["a"], "": [], "/2020-01-02/12/abcdef12/1.html/x": ["{date}", "{n}", "{hex}", "{n}.html", "x"]}[path]
 
 
 def test_tree_equals_its_sql(spark, tmp_path):
@@ -123,12 +150,12 @@ def test_tree_equals_its_sql(spark, tmp_path):
 
     rng = random.Random(4)
     urls = [f"http://{rng.choice(['a', 'b', 'c.a'])}.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['en', 'de', 'fr', 'ads'])}/{rng.choice(['x', 'y', str(rng.randint(0, 99)), 's' + str(rng.randint(0, 40))])}{rng.choice(['', '/z/1/2/3/4', '.html', '?q'])}" for _ in range(1500)]
-    rules = (url_filter.Rule("block", "net", "/ads/"), url_filter.Rule("block", "a.com", "/de/x"), url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "b.org", "/en/"), url_filter.Rule("allow", "a.com", "/de/y"))
+    rules = (url_filter.Rule("block", "net", "/ads/"), url_filter.Rule("block", "a.com", "/de/x"), url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "b.org", "/en/"), url_filter.Rule("allow", "a.com", "/de/y"), *(url_filter.Rule("block", "b.com", f"/{x}/") for x in ("en", "de", "fr")))
     df = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, *URLS])], "page_id long, url string")
     df.coalesce(1).write.parquet(str(tmp_path / "p"))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/p/*.parquet'")
-    want = con.execute(url_filter.oracle_sql(rules, purity=0.55)).fetchall()
+    want = con.execute(url_filter.oracle_sql(rules, depth=8, purity=0.55)).fetchall()
     got = url_filter.judge(df, rules, purity=0.55).select("page_id", "host", "path", "rule", "verdict").collect()
     assert sorted(map(tuple, got)) == sorted(want)
     assert any(r.rule is None and r.verdict == "block" for r in got)
