@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -24,18 +27,30 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. The cluster names it; only a session without one (a test) gets a local one."""
+    """The folder that all executors share. The cluster names it; only a session in one process (a test) gets a local one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        app = spark.sparkContext.applicationId
-        named = _OWN.setdefault(app, _OWN.get(app) or "file://" + tempfile.mkdtemp(prefix="scratch-"))
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        if context.applicationId not in _OWN:
+            own = tempfile.mkdtemp(prefix="scratch-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _OWN[context.applicationId] = "file://" + own
+        named = _OWN[context.applicationId]
     return named.rstrip("/")
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application, once nothing that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation of it.
 
-    Tables stay below the application's id until that folder is removed. A written table also gives later joins a plain shuffle under each side, which adaptive execution can split by skew.
+    Tables stay below the application's id until `remove_scratch` is called. A written table also gives later joins a plain shuffle under each side, which adaptive execution can split by skew.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
@@ -96,12 +111,17 @@ def bucket_of(doc_id: str = "doc_id", mod: int = 5) -> F.Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: F.Column, limit: int) -> DataFrame:
     """At most `limit` labelled training documents as (doc_id, y, text), chosen by a hash of the id.
 
-    Rows with a null id, label or a held-out id are left out. The id list has at most `limit` rows, so it is broadcast.
+    Ids that are null, held out, or labelled with both or with other values than 0 and 1 are left out. The id list has at most `limit` rows,
+    so it is broadcast; of rows that repeat an id the smallest text counts, so the result has at most `limit` rows too.
     """
     ids = (
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out)
-        .select("doc_id", F.col(label).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
+        .groupBy("doc_id")
+        .agg(F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("most"))
+        .where("y = most AND y IN (0, 1)")
+        .select("doc_id", "y")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))

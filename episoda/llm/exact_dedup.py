@@ -9,7 +9,8 @@ makes hot.
 Equality: texts are compared after each run of [\\x20\\x09-\\x0D] became one space, byte by byte; the hash only deals them out.
 
 Defined results: null counts as empty; ids that repeat are rows of their own with the same keep_id; a null id is never chosen over another;
-an empty table gives no rows; further columns are kept by `drop_duplicates` and ignored otherwise.
+of rows that tie for the smallest id one is kept; a text of any length is entered whole (a trie holds one text at least, whatever its budget);
+an empty table gives no rows; further columns of any name are kept by `drop_duplicates` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -243,11 +244,12 @@ def duplicate_groups(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame
 def drop_duplicates(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """The rows of docs that stay, with all their columns. Of rows that repeat id and text one stays."""
     groups = common.materialise(duplicate_groups(docs, trie_bytes).where("doc_id <=> keep_id").groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), "kept-texts")
-    stay = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "n")
-    tagged = docs.withColumn("_sha", F.sha2(F.encode(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t-\\r]+", " "), "UTF-8"), 256))
-    same = lambda df: (tagged["_sha"] == df["_text"]) & tagged["doc_id"].eqNullSafe(df["_id"])
+    stay = groups.where("kept").select("doc_id", "text_sha256", "n")
+    sha = common.free_name(docs, "sha")
+    tagged = docs.withColumn(sha, F.sha2(F.encode(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t-\\r]+", " "), "UTF-8"), 256))
+    same = lambda df: (tagged[sha] == df["text_sha256"]) & tagged["doc_id"].eqNullSafe(df["doc_id"])
     if not stay.where("n > 1").head(1):
-        return tagged.join(stay, same(stay), "left_semi").select(*docs.columns)
+        return tagged.join(stay, same(stay), "left_semi").drop(sha)
     once, often = stay.where("n = 1"), stay.where("n > 1")
-    repeated = tagged.join(often, same(often), "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return tagged.join(once, same(once), "left_semi").unionByName(repeated).select(*docs.columns)
+    repeated = tagged.join(often, same(often), "left_semi").dropDuplicates(["doc_id", sha])
+    return tagged.join(once, same(once), "left_semi").unionByName(repeated).drop(sha)

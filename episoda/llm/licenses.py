@@ -6,7 +6,8 @@ threshold t only with segments of t/(2-t)*B to (2-t)/t*B bigrams; others are nev
 templates are literals of the expression, so there is neither a join nor a shuffle.
 
 Defined results: null and empty texts have no segments; equal segments of a text are reported each; of equally good templates the first by
-name is reported; null ids are kept; empty tables give no rows; further columns are ignored.
+name is reported; repeated rows are reported each; null ids are kept; a text of any length is scanned whole, with memory in proportion to
+it; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations

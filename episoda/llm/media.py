@@ -8,7 +8,9 @@ Positions are those of the sequence, so text, media and captions stay aligned wh
 The store keeps payloads as 8-bit grey PNG images 64 samples wide: lossless, checksummed, and read back before anything is computed from them.
 
 Defined results: null or empty text is a payload of 64 zero bytes; null HTML is an empty sequence; unknown digests keep their place with null
-descriptions; equal payloads share one row of the store; empty tables give no rows; further columns are ignored.
+descriptions; equal texts share one row of the store and have equal values (texts that differ in final zero bytes alone differ in n_bytes);
+repeated rows and null ids each have their own sequence; a text of any length is one payload, with memory in proportion to it; empty tables
+give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -142,11 +144,15 @@ def read_bytes(stored: bytes) -> bytes:
 def feature_of(payload: bytes) -> str:
     """Mean, deviation, byte entropy, share of zero samples, and a 64-bit average hash of 64 equal parts of the samples."""
     x = np.frombuffer(payload, np.uint8)
-    counts = np.bincount(x, minlength=256)
+    counts = sum(np.bincount(x[at : at + (1 << 20)], minlength=256) for at in range(0, len(x), 1 << 20))
     p = counts[counts > 0] / len(x)
-    parts = np.add.reduceat(x.astype(np.int64), np.arange(64) * len(x) // 64)
-    bits = "".join("1" if v * 64 >= int(x.sum(dtype=np.int64)) else "0" for v in parts.tolist())
-    return f"mean={x.mean():.4f};sd={x.std():.4f};entropy={-(p * np.log2(p)).sum():.4f};zeros={counts[0] / len(x):.4f};hash={int(bits, 2):016x}"
+    mean = float((counts * np.arange(256)).sum()) / len(x)
+    sd = float(np.sqrt((counts * (np.arange(256) - mean) ** 2).sum() / len(x)))
+    edges = [k * len(x) // 64 for k in range(65)]
+    parts = [int(x[a:b].sum(dtype=np.int64)) for a, b in zip(edges, edges[1:], strict=False)]
+    total = sum(parts)
+    bits = "".join("1" if v * 64 >= total else "0" for v in parts)
+    return f"mean={mean:.4f};sd={sd:.4f};entropy={-(p * np.log2(p)).sum():.4f};zeros={counts[0] / len(x):.4f};hash={int(bits, 2):016x}"
 
 
 _STORED = "digest string, n_bytes long, media binary"

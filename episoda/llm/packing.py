@@ -6,7 +6,8 @@ knapsack dynamic program over the current weights. The fractional plan is rounde
 (length, rank range, sequence, offset) of bounded size, places the r-th piece of each length. Ranks come from counts by partition.
 
 Defined results: null or empty text is one piece, the end id alone; a null id is kept; an empty table gives no rows; further columns
-of the input are ignored; equal rows are packed as often as they occur.
+of the input are ignored; equal rows are packed as often as they occur; pieces of equal length are alike to the plan and take its places in
+the order of their partitions; a text of any length is cut into pieces, with memory in proportion to it.
 """
 
 from __future__ import annotations

@@ -2,12 +2,14 @@
 
 Bytes are embedded, filters of 8 bytes run over the text every 4 bytes, and their rectified responses are max-pooled over overlapping chunks
 (256 bytes, half of them shared with the next chunk) that cover the whole document. A small dense layer describes each chunk; chunk
-descriptions are max-pooled and averaged over the document and combined into one probability. Training looks at a bounded sample of labelled
-documents (`sample`) and of each document's chunks (`chunks_a_document`); scoring reads every byte.
-
-Defined results: null or empty text is one chunk of zero bytes and gets a score like any other; without labelled rows every score is 0.5;
-rows may repeat; a null id is kept (and counts as the empty text for the held-out rule); further columns are ignored or, in
-`keep_good`, kept.
+descriptions are max-pooled and averaged over the document and combined into one probability. Training looks at `sample` labelled documents
+at most, and of each at `chunks_a_document` chunks spread over the whole of it: 16 MB with the usual parameters, however long the texts are.
+Scoring reads every byte of every text, long ones window by window with a running maximum and sum, so memory does not grow with a text.
+
+Defined results: null or empty text is one chunk of zero bytes and gets a score like any other; without labelled rows of both kinds every
+score is 0.5; ids labelled with both or other values are not trained on; equal texts get equal scores, repeated rows each; a score of exactly
+the threshold is kept; a null id is kept (and counts as the empty text for the held-out rule); `score` replaces a column quality_score;
+further columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episoda.llm import common
 
@@ -28,6 +31,7 @@ FOLDS, THRESHOLD = 5, 0.3
 SAMPLE, CHUNKS_A_DOCUMENT, EPOCHS = 8000, 8, 12
 
 _HALF = HOP // STRIDE  # filter positions in half a chunk
+_WINDOW = 2048  # chunks of a long text that are looked at together
 
 
 def _blocks(raw: bytes) -> np.ndarray:
@@ -67,8 +71,8 @@ class Network:
         inner = by_half[:, :-1].max(1)
         return np.maximum(inner, by_half[:, -1]), inner
 
-    def score(self, raws: list[bytes]) -> np.ndarray:
-        """Probability of label 1 of whole texts."""
+    def _chunks(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The descriptions of all chunks of some texts, one text after the other, and where each text's begin."""
         p = self.p
         blocks = [_blocks(r) for r in raws]
         halves, inner = self._halves(np.concatenate(blocks))
@@ -79,13 +83,30 @@ class Network:
         at = np.flatnonzero(first)
         pooled = np.maximum(np.maximum(halves[at], inner[at + 1]) + p["shift"], 0)
         owner = np.repeat(np.arange(len(raws)), counts)[at]
-        starts = np.searchsorted(owner, np.arange(len(raws)))
         left = np.array([len(r) for r in raws])[owner] - (at - (ends - counts)[owner]) * HOP
         x = np.concatenate([pooled, np.clip(left / CHUNK, 0, 1)[:, None].astype(np.float32)], 1)
-        h = np.maximum(x @ p["dense"] + p["bias"], 0)
-        sizes = np.diff(np.append(starts, len(h)))[:, None]
-        doc = np.concatenate([np.maximum.reduceat(h, starts), np.add.reduceat(h, starts) / sizes], 1)
-        return 1 / (1 + np.exp(-np.clip(doc @ p["out"] + p["level"], -30, 30).astype(np.float64)))
+        return np.maximum(x @ p["dense"] + p["bias"], 0), np.searchsorted(owner, np.arange(len(raws)))
+
+    def _long(self, raw: bytes) -> np.ndarray:
+        """Maximum and mean of the chunk descriptions of one text, a window of chunks at a time."""
+        n, most, total = -(-len(raw) // HOP) - 1, 0.0, 0.0
+        for s in range(0, n, _WINDOW):
+            h = self._chunks([raw[s * HOP : (s + _WINDOW + 1) * HOP]])[0]
+            most, total = np.maximum(most, h.max(0)), total + h.sum(0, dtype=np.float64)
+        return np.concatenate([most, total / n])
+
+    def score(self, raws: list[bytes]) -> np.ndarray:
+        """Probability of label 1 of whole texts."""
+        p, doc = self.p, np.zeros((len(raws), 2 * HIDDEN))
+        short = [k for k, r in enumerate(raws) if len(r) <= _WINDOW * HOP]
+        if short:
+            h, starts = self._chunks([raws[k] for k in short])
+            sizes = np.diff(np.append(starts, len(h)))[:, None]
+            doc[short] = np.concatenate([np.maximum.reduceat(h, starts), np.add.reduceat(h, starts, dtype=np.float64) / sizes], 1)
+        for k, r in enumerate(raws):
+            if len(r) > _WINDOW * HOP:
+                doc[k] = self._long(r)
+        return 1 / (1 + np.exp(-np.clip(doc @ p["out"].astype(np.float64) + p["level"].astype(np.float64), -30, 30)))
 
     def gradients(self, chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean logistic loss and gradients; chunks (documents, chunks, CHUNK) of bytes, fill and valid (documents, chunks)."""
@@ -172,22 +193,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chunks_a_docum
     return train(chunks, fill, valid, np.array([r.y for r in got], np.float32))
 
 
-def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model, column: str) -> Iterator[pa.RecordBatch]:
     common.forget_tables()
     net = model.value
     for batch in common.slices(batches, "text", 1 << 18, 256):
         scores = net.score(common.raw_texts(batch)) if net is not None else np.full(batch.num_rows, 0.5)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "quality_score"])
-
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, column])
 
-def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """docs with a double column quality_score."""
-    from pyspark.sql import types as T
 
+def score(docs: DataFrame, net: Network | None, column: str = "quality_score") -> DataFrame:
+    """docs with a double column of scores; a column of that name is replaced."""
+    docs = docs.drop(column)
     model = docs.sparkSession.sparkContext.broadcast(net)
-    return docs.mapInArrow(partial(_score, model=model), T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
+    return docs.mapInArrow(partial(_score, model=model, column=column), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that the classifier, trained on these documents' labels, does not reject."""
-    return score(docs, fit(docs, labels)).where(F.col("quality_score") >= threshold).select(*docs.columns)
+    """The rows that the classifier, trained on these documents' labels, does not reject, with all their columns."""
+    own = common.free_name(docs, "score")
+    return score(docs, fit(docs, labels), own).where(F.col(own) >= threshold).drop(own)

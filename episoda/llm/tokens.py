@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
 from array import array
 from functools import lru_cache
 from itertools import islice
+from pathlib import Path
 
 import numpy as np
 
-#: Below this code point every character is stable under NFC, has one-to-one lower case in Rust and Python alike, and has had its
-#: Unicode class for decades; texts with anything above go to the library whole.
+#: Below this code point every character is stable under NFC, has the same lower case in Rust and Python, and has had its Unicode class for
+#: decades; three letters are left out, whose lower case is two characters or far above. Chunks with others go to the library.
 _PLAIN_TOP = 0x250
-_ODD = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
+_ODD = re.compile("[\x1c-\x1f\u0130\u023a\u023eɐ-\U0010ffff]")
+_BLANKS = re.compile("[ \t-\r]+")
+#: The normaliser and the cutting of the files that this encoder is right for.
+_NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Entries of the tables of blank-delimited chunks and of pieces; the newer half stays when one is full. Few chunks suffice: an unknown one
 #: is put together from pieces.
 _CHUNKS_MAX, _PIECES_MAX = 400_000, 200_000
@@ -50,13 +56,18 @@ def _classes() -> tuple[str, str]:
 class WordEncoder:
     """Ids of a lower-casing, white-space-dropping, word-final BPE file (word_bpe_49k.json), as little-endian uint32 bytes.
 
-    White space never reaches the merges of that file, so each space-delimited chunk encodes alone and repeats are looked up. A text
-    with unusual characters or a special token's spelling is handed to the library as a whole.
+    White space never reaches the merges of that file, and no character combines with it, so each chunk between blanks encodes alone and
+    repeats are looked up. A chunk with unusual characters is handed to the library by itself, a text with a special token's spelling as a
+    whole. Files of another kind are refused.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        if (spec["normalizer"] or {}).get("normalizers") != _NORMALISER or steps[0].get("pattern") != {"Regex": _PIECES} or steps[0].get("behavior") != "Removed" or steps[-1].get("type") != "ByteLevel":
+            raise ValueError(f"{path} is not a lower-casing word BPE file of the kind this encoder is for")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -86,16 +97,22 @@ class WordEncoder:
     def _learn(self, chunk: str) -> bytes:
         known = self.memo.get(chunk)
         if known is None:
-            pieces = [chunk] if chunk.isalpha() else self.piece.findall(chunk)
-            known = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self._piece(p) for p in pieces])
+            if _ODD.search(chunk):
+                known = self._whole(chunk)
+            else:
+                pieces = [chunk] if chunk.isalpha() else self.piece.findall(chunk)
+                known = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self._piece(p) for p in pieces])
             if len(chunk) <= _LONG_WORD:
                 remember(self.memo, chunk, known, _CHUNKS_MAX)
         return known
 
     def encode(self, text: str) -> bytes:
-        if _ODD.search(text) or ("<|" in text and any(s in text for s in self.special)):
+        if "<|" in text and any(s in text for s in self.special):
             return self._whole(text)
-        chunks = text.lower().split()
+        if _ODD.search(text):
+            chunks = [c if _ODD.search(c) else c.lower() for c in _BLANKS.split(text)]
+        else:
+            chunks = text.lower().split()
         found = list(map(self.memo.get, chunks))
         if None in found:
             found = [self._learn(c) if f is None else f for c, f in zip(chunks, found, strict=True)]

@@ -120,6 +120,12 @@ def test_exact_drop_keeps_columns_and_one_row(spark):
     assert exact_dedup.drop_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_exact_drop_keeps_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "a  b", "mine", "yours"), (2, "a b", "mine", "yours"), (2, "a b", "mine", "yours")], "doc_id long, text string, _own_sha string, _SHA string")
+    got = exact_dedup.drop_duplicates(docs)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(1, "a  b", "mine", "yours")]
+
+
 def test_exact_oracle_on_the_small_table(spark):
     import duckdb
 

@@ -128,3 +128,21 @@ def test_matrices_hold_every_document_without_loss(spark):
             docs = [x for _, x in own]
         joined += [(str(doc), d) for d in docs]
     assert sorted(joined) == want
+
+
+def test_characters_below_the_letter_extensions_in_context():
+    """Every character below U+0250 beside letters, digits and symbols, and chunks of other scripts, against the library."""
+    encoder, lib = tokens.word_encoder(tokens.default_path("word_bpe_49k.json")), library()
+    texts = [f"{c}\u00b7 a{c}b {c}{c} 1{c}2 .{c}" for c in map(chr, range(0x250))]
+    rng = np.random.default_rng(3)
+    some = [chr(c) for c in (*range(0x20, 0x250), 0x301, 0x307, 0x3A3, 0x3C2, 0x2019, 0x201C, 0x2014, 0x2003, 0x2028, 0x3000, 0x4E2D, 0x65E5, 0xAC00, 0x1100, 0x1161, 0x1E9E, 0x212B, 0xFB01, 0x1F600, 0x10400, 0x1C, 0x85, 0xA0, 9, 10)]
+    texts += ["".join(rng.choice(some, rng.integers(0, 14))) for _ in range(6000)]
+    texts += ["e\u0301 e \u0301 \u0301e", "\u201cquoted\u201d \u2014 it\u2019s", "ΟΔΟΣ ΟΔΟΣ.", "<|endoftext|> \u2019 <|startoftext|>x"]
+    for t in texts:
+        want = np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode(t) == want == encoder.encode(t), ascii(t)
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError):
+        tokens.WordEncoder(tokens.default_path("byte_bpe_50k.json"))
