@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,31 +13,12 @@ from pyspark.sql import functions as F
 from episoda.functions import png
 from episoda.operators.images import STREAMS
 
-#: Fault name, its category, and which rows show it ("at", "after": also the next row, "all", "tail", "three"); the last column says
-#: whether rows can be evaluated.
-FAULTS = (
-    ("timestamp_jitter", "temporal", "after", True), ("timestamp_rollback", "temporal", "after", True), ("timestamp_rate_drift", "temporal", "later", True),
-    ("timestamp_duplicate", "temporal", "after", True), ("timestamp_gap", "temporal", "at", True),
-    ("task_index_invalid", "synchronisation", "at", True), ("task_switch", "synchronisation", "tail", False), ("single_path_mismatch", "synchronisation", "at", True),
-    ("stream_path_offset", "synchronisation", "all", True), ("episode_index_mismatch", "synchronisation", "at", False),
-    ("black_frames", "content", "three", True), ("bright_frames", "content", "three", True), ("image_shape", "content", "at", True), ("exact_duplicate", "content", "at", True), ("corrupt_payload", "content", "at", True),
-    ("state_nan", "value", "at", True), ("position_spike", "value", "after", True), ("rotation_invalid", "value", "after", True), ("gripper_out_of_range", "value", "after", True), ("action_jump", "value", "after", True),
-)
 SCHEMA = (
     "dataset string, episode_index bigint, row bigint, episode_index_value bigint, timestamp float, frame_index bigint, index bigint, task_index bigint, state array<float>, actions array<float>, "
     + ", ".join(f"{s} struct<bytes:binary,path:string>" for s in STREAMS)
 )
 
 
-def faulty_row(n: int) -> int:
-    return min(max(8, n // 3), n - 8)
-
-
-def labelled_rows(fault: int, n: int) -> list[int]:
-    r = faulty_row(n)
-    return {"at": [r], "after": [r, r + 1], "later": list(range(1, n)), "all": list(range(n)), "tail": list(range(r, n)), "three": [r, r + 1, r + 2]}[FAULTS[fault][2]]
-
-
 def _image(seed: int, step: int, size: int) -> np.ndarray:
     rng = np.random.default_rng(seed * 100_003 + step)
     y, x = np.mgrid[:size, :size]
@@ -60,52 +42,113 @@ def clean(episode: int, n: int, size: int) -> dict[str, list]:
     }
 
 
-def inject(e: dict[str, list], fault: int, size: int) -> None:
-    """Change one episode in place."""
-    name, n = FAULTS[fault][0], len(e["timestamp"])
-    r = faulty_row(n)
-    ts = e["timestamp"]
-    plain = lambda level: png.encode(np.full((size, size, 3), level, np.uint8))
-    if name == "timestamp_jitter":
-        ts[r] += 0.03
-    elif name == "timestamp_rollback":
-        ts[r] = ts[r - 1] - 0.05
-    elif name == "timestamp_rate_drift":
-        ts[:] = np.arange(n) * 0.12
-    elif name == "timestamp_duplicate":
-        ts[r] = ts[r - 1]
-    elif name == "timestamp_gap":
-        ts[r:] += 0.2
-    elif name == "task_index_invalid":
-        e["task_index"][r] = 2
-    elif name == "task_switch":
-        e["task_index"][r:] = 1 - e["task_index"][r]
-    elif name == "single_path_mismatch":
-        e["image"][r]["path"] = "frame_999999.png"
-    elif name == "stream_path_offset":
-        for i, x in enumerate(e["left_wrist_image"]):
-            x["path"] = f"frame_{i + 1:06d}.png"
-    elif name == "episode_index_mismatch":
-        e["episode_index_value"][r] += 1
-    elif name in ("black_frames", "bright_frames"):
-        for s in STREAMS:
-            for i in range(r, r + 3):
-                e[s][i]["bytes"] = plain(0 if name == "black_frames" else 255)
-    elif name == "image_shape":
-        e["image"][r]["bytes"] = png.encode(png.decode(e["image"][r]["bytes"])[::2, ::2].copy())
-    elif name == "exact_duplicate":
-        for s in STREAMS:
-            e[s][r] = dict(e[s][r - 1])
-    elif name == "corrupt_payload":
-        e["image"][r]["bytes"] = b"not-a-valid-png"
-    else:
-        field, place, value = {
-            "state_nan": ("state", [0], np.nan), "position_spike": ("state", [0], 1.8), "rotation_invalid": ("state", list(range(3, 9)), 0.0), "gripper_out_of_range": ("actions", [9], 1.5),
-            "action_jump": ("actions", [0], None),
-        }[name]
-        v = e[field][r].copy()
-        v[place] = value if value is not None else np.clip(v[place] + (0.75 if v[place][0] < 0 else -0.75), -0.95, 0.95)
-        e[field][r] = v
+@dataclass(frozen=True)
+class Fault:
+    """One way to damage an episode. `change(e, rows, size)` damages the given rows in place; `seen` says where a frame-wise check can see it:
+    in the changed rows themselves, or in every row whose step from the row before changed. None: only the episode as a whole shows it."""
+
+    name: str
+    category: str
+    reach: int  # rows from the site on; 0: to the end; -1: the whole episode
+    seen: str | None
+    change: Callable[[dict, range, int], None]
+
+
+def _clock(shift: Callable[[np.ndarray, range, float], np.ndarray]):
+    def change(e: dict, rows: range, size: int) -> None:
+        t = e["timestamp"].astype(np.float64)
+        t[rows.start : rows.stop] = shift(t, rows, float(np.median(np.diff(t))))
+        e["timestamp"][:] = t
+
+    return change
+
+
+def _column(name: str, value: Callable[[np.ndarray], np.ndarray]):
+    def change(e: dict, rows: range, size: int) -> None:
+        own = slice(rows.start, rows.stop)
+        e[name][own] = value(e[name][own])
+
+    return change
+
+
+def _vector(name: str, places: list[int], value: Callable[[np.ndarray], np.ndarray]):
+    def change(e: dict, rows: range, size: int) -> None:
+        for i in rows:
+            e[name][i] = e[name][i].copy()
+            e[name][i][places] = value(e[name][i][places])
+
+    return change
+
+
+def _picture(streams: tuple[str, ...], part: str, value: Callable[[dict, int], object]):
+    """value(e's list of pictures, row) is the new bytes or path."""
+
+    def change(e: dict, rows: range, size: int) -> None:
+        for s in streams:
+            new = [value(e[s], i) for i in rows]
+            for i, x in zip(rows, new, strict=True):
+                e[s][i] = {**e[s][i], **x} if part == "both" else {**e[s][i], part: x}
+
+    return change
+
+
+def _flat(level: int):
+    return lambda pictures, i: png.encode(np.full_like(png.decode(pictures[i]["bytes"]), level))
+
+
+#: The catalogue. Names and categories are fixed values, which reports use; sizes of the damage are this module's own.
+FAULTS: tuple[Fault, ...] = (
+    Fault("timestamp_jitter", "temporal", 1, "step", _clock(lambda t, r, step: t[r.start : r.stop] + 0.4 * step)),
+    Fault("timestamp_rollback", "temporal", 1, "step", _clock(lambda t, r, step: t[r.start : r.stop] - 1.7 * step)),
+    Fault("timestamp_rate_drift", "temporal", -1, "step", _clock(lambda t, r, step: t[0] + 1.25 * (t - t[0]))),
+    Fault("timestamp_duplicate", "temporal", 1, "step", _clock(lambda t, r, step: t[r.start - 1 : r.stop - 1])),
+    Fault("timestamp_gap", "temporal", 0, "step", _clock(lambda t, r, step: t[r.start :] + 3.5 * step)),
+    Fault("task_index_invalid", "synchronisation", 1, "row", _column("task_index", lambda v: v + 7)),
+    Fault("task_switch", "synchronisation", 0, None, _column("task_index", lambda v: (v + 1) % 2)),
+    Fault("single_path_mismatch", "synchronisation", 1, "row", _picture(STREAMS[:1], "path", lambda p, i: f"frame_{len(p) + i:06d}.png")),
+    Fault("stream_path_offset", "synchronisation", -1, "row", _picture(STREAMS[1:2], "path", lambda p, i: f"frame_{i + 2:06d}.png")),
+    Fault("episode_index_mismatch", "synchronisation", 1, None, _column("episode_index_value", lambda v: v + 40)),
+    Fault("black_frames", "content", 4, "row", _picture(STREAMS, "bytes", _flat(0))),
+    Fault("bright_frames", "content", 4, "row", _picture(STREAMS, "bytes", _flat(252))),
+    Fault("image_shape", "content", 1, "row", _picture(STREAMS[:1], "bytes", lambda p, i: png.encode(np.ascontiguousarray(png.decode(p[i]["bytes"])[:, 4:])))),
+    Fault("exact_duplicate", "content", 1, "row", _picture(STREAMS, "both", lambda p, i: p[i - 1])),
+    Fault("corrupt_payload", "content", 1, "row", _picture(STREAMS[:1], "bytes", lambda p, i: p[i]["bytes"][: len(p[i]["bytes"]) // 2])),
+    Fault("state_nan", "value", 1, "row", _vector("state", [11], lambda v: v * np.nan)),
+    Fault("position_spike", "value", 1, "step", _vector("state", [12], lambda v: v * 0 + 2.4)),
+    Fault("rotation_invalid", "value", 1, "step", _vector("state", list(range(13, 19)), lambda v: v * 0)),
+    Fault("gripper_out_of_range", "value", 1, "step", _vector("actions", [19], lambda v: v + 0.9)),
+    Fault("action_jump", "value", 1, "step", _vector("actions", [10], lambda v: v + np.where(v < 0, 0.85, -0.85))),
+)
+
+
+def site(n: int, fault: int) -> int:
+    """Where the damage begins: in the third quarter of an episode, other faults at other rows."""
+    return n // 2 + 5 * fault % max(1, n // 4)
+
+
+def inject(e: dict[str, list], fault: int, size: int) -> list[int]:
+    """Change one episode in place; the rows in which a frame-wise check can see it."""
+    own, n = FAULTS[fault], len(e["timestamp"])
+    at = site(n, fault)
+    rows = range(n) if own.reach < 0 else range(at, n if own.reach == 0 else min(n, at + own.reach))
+    before = {c: v.copy() for c, v in e.items()}
+    own.change(e, rows, size)
+    return [i for i in range(n) if _changed(before, e, i, own.seen == "step")]
+
+
+def _changed(before: dict[str, list], after: dict[str, list], i: int, by_step: bool) -> bool:
+    """Whether row i (or, of numbers, its step from the row before) is another than it was."""
+    for c, was in before.items():
+        now = after[c]
+        if isinstance(now[i], dict):
+            if now[i] != was[i]:
+                return True
+        elif by_step:
+            if i and not np.allclose(np.subtract(now[i], now[i - 1]), np.subtract(was[i], was[i - 1]), atol=1e-4):
+                return True
+        elif not np.array_equal(now[i], was[i]):
+            return True
+    return False
 
 
 def frames(spark: SparkSession, episodes: int = 20, n: int = 60, size: int = 32, faulty: bool = True, base: int = 1000) -> DataFrame:
@@ -128,8 +171,8 @@ def frames(spark: SparkSession, episodes: int = 20, n: int = 60, size: int = 32,
 
 
 def labels(spark: SparkSession, episodes: int = 20, n: int = 60, base: int = 1000) -> DataFrame:
-    """dataset, episode_index, fault, categories, rows, frame_evaluable of the injected faults."""
-    rows = [("test", base + i, FAULTS[i][0], [FAULTS[i][1]], labelled_rows(i, n), FAULTS[i][3]) for i in range(min(episodes, len(FAULTS)))]
+    """dataset, episode_index, fault, categories, rows, frame_evaluable of the injected faults; rows are those that differ from the clean episode."""
+    rows = [("test", base + i, f.name, [f.category], inject(clean(i, n, 16), i, 16), f.seen is not None) for i, f in enumerate(FAULTS[:episodes])]
     return spark.createDataFrame(rows, "dataset string, episode_index bigint, fault string, categories array<string>, rows array<bigint>, frame_evaluable boolean")
 
 
