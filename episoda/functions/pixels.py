@@ -49,13 +49,13 @@ def measures(pixels: np.ndarray) -> dict:
     """All measures of decoded pixels (height, width, channels)."""
     rgb = png.to_rgb(pixels).astype(np.float64)
     grey = rgb @ LUMA
-    whole = np.floor(grey + 0.5)
+    whole = np.floor(grey)  # hash and thumbnail are taken from luma cut to whole grey levels
     inner = laplacian(grey) if min(grey.shape) >= 3 else np.zeros(1)
     edges = [np.abs(np.diff(grey, axis=a)).mean() if grey.shape[a] > 1 else 0.0 for a in (1, 0)]
     means = rgb.reshape(-1, 3).mean(0)
     small = resample(whole, 8)
     return {
-        "width": grey.shape[1], "height": grey.shape[0], "channels": 3 if pixels.shape[2] in (1, 2, 3, 4) else None,
+        "width": grey.shape[1], "height": grey.shape[0], "channels": pixels.shape[2],
         "mean_luma": grey.mean(), "std_luma": grey.std(), "dark_fraction": (grey <= 10).mean(), "bright_fraction": (grey >= 245).mean(),
         "gradient_energy": sum(edges) / 2, "laplacian_var": inner.var(),
         "chroma_spread": float((means.max() - means.min()) / means.mean()) if means.mean() > 1e-6 else None,

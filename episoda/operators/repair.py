@@ -61,9 +61,11 @@ def rewritten_task(frames: DataFrame, task: str, expected: str, code: str) -> Da
 
 
 def expected_tasks(meta: DataFrame, tasks: DataFrame) -> DataFrame:
-    """The task index that metadata determines: episodes with one known task name. meta(dataset, episode_index, tasks), tasks(task, task_index)."""
+    """The task index that metadata determines: episodes with one task name that stands for one index. meta(dataset, episode_index, tasks),
+    tasks(task, task_index). A name with several indexes determines nothing."""
     one = meta.where(F.size("tasks") == 1).select(*KEYS, F.get("tasks", F.lit(0)).alias("task"))
-    return one.join(tasks.select("task", F.col("task_index").alias("expected_task")).dropDuplicates(["task"]), "task").drop("task")
+    known = tasks.groupBy("task").agg(F.min("task_index").alias("expected_task"), F.max("task_index").alias("most")).where("expected_task = most").drop("most")
+    return one.join(known, "task").drop("task")
 
 
 def repaired_paths(frames: DataFrame) -> DataFrame:

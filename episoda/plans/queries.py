@@ -478,6 +478,7 @@ def sparse_value_repair(spark, sf):
 
 def _faults(spark):
     """Synthetic episodes with one fault each, run through the whole detector; stage tables go to the shared folder."""
+    import re
     import tempfile
     import uuid
 
@@ -485,7 +486,11 @@ def _faults(spark):
     from episoda.plans import detect
     from episoda.sources import sinks
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stages-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        shared = "file://" + tempfile.mkdtemp(prefix="stages-")
     work = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/faults-{uuid.uuid4().hex}"
     config = detect.Config(size=(32, 32, 3))
     raw = sinks.stage(synthetic.frames(spark, n=40), work, "raw")

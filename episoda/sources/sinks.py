@@ -37,8 +37,9 @@ def summary_document(df: DataFrame) -> str:
 
 
 def csv_export(df: DataFrame, path: str) -> None:
-    """A small result as one CSV file with a header."""
+    """A small result as one CSV file with a header that begins with a byte-order mark, for spreadsheets."""
     flat = df.select(*[F.array_join(c, ";").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
+    flat = flat.withColumnRenamed(flat.columns[0], "\ufeff" + flat.columns[0])
     flat.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -49,18 +50,19 @@ def markdown(df: DataFrame, limit: int = 200) -> str:
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *[line(r) for r in rows]])
 
 
-def digests(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """path, sha256 of files, for the manifest of sources and copies."""
+def digests(spark: SparkSession, root: str, dataset: str | None = None, pattern: str = "*.parquet") -> DataFrame:
+    """dataset, path, sha256 of files, for the manifest of sources and copies; without a name the dataset is read from a folder dataset=NAME of the path."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
-    return raw.select("path", F.sha2("content", 256).alias("sha256"))
+    named = F.lit(dataset) if dataset is not None else F.nullif(F.regexp_extract("path", r"dataset=([^/]+)/", 1), F.lit(""))
+    return raw.select(named.alias("dataset"), "path", F.sha2("content", 256).alias("sha256"))
 
 
 def manifest(repaired: DataFrame, source_digests: DataFrame, copy_digests: DataFrame, version: str) -> DataFrame:
-    """Per repaired episode: what was changed, by which version and when, with the digests of source and copy."""
+    """Per repaired episode of a dataset: what was changed, by which version and when, with the digests of its own source and copy."""
     number = lambda c: F.coalesce(F.regexp_extract(c, r"episode_(\d+)\.parquet", 1).try_cast("bigint"), F.regexp_extract(c, r"episode_index=(\d+)/", 1).try_cast("bigint"))
-    src = source_digests.select(number("path").alias("episode_index"), F.col("path").alias("source_file"), F.col("sha256").alias("source_sha256"))
-    dst = copy_digests.select(number("path").alias("episode_index"), F.col("path").alias("repaired_file"), F.col("sha256").alias("repaired_sha256"))
-    joined = repaired.join(src, "episode_index", "left").join(dst, "episode_index", "left")
+    src = source_digests.select("dataset", number("path").alias("episode_index"), F.col("path").alias("source_file"), F.col("sha256").alias("source_sha256"))
+    dst = copy_digests.select("dataset", number("path").alias("episode_index"), F.col("path").alias("repaired_file"), F.col("sha256").alias("repaired_sha256"))
+    joined = repaired.join(src, KEYS, "left").join(dst, KEYS, "left")
     return joined.withColumns({"version": F.lit(version), "created_utc": F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")})
 
 

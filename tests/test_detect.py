@@ -134,3 +134,25 @@ def test_summary_exports(spark, tmp_path):
     sinks.json_lines(df, str(tmp_path / "j"))
     sinks.copy_unchanged(spark, str(tmp_path / "j"), str(tmp_path / "k"))
     assert spark.read.json(str(tmp_path / "k")).count() == 1
+
+
+def test_manifest_keeps_datasets_apart(spark, tmp_path):
+    for name, text in (("reference", b"one"), ("test", b"two")):
+        folder = tmp_path / name / "chunk-000"
+        folder.mkdir(parents=True)
+        (folder / "episode_000005.parquet").write_bytes(text)
+        copy = tmp_path / "copies" / f"dataset={name}" / "episode_index=5"
+        copy.mkdir(parents=True)
+        (copy / "part-0.parquet").write_bytes(text * 2)
+    sources = sinks.digests(spark, str(tmp_path / "reference"), "reference").union(sinks.digests(spark, str(tmp_path / "test"), "test"))
+    repaired = spark.createDataFrame([("reference", 5, "a"), ("test", 5, "b"), ("test", 6, "c")], "dataset string, episode_index bigint, kind string")
+    got = {(r.dataset, r.episode_index): (r.source_sha256, r.repaired_sha256) for r in sinks.manifest(repaired, sources, sinks.digests(spark, str(tmp_path / "copies")), "v1").collect()}
+    assert len(got) == 3 and got["test", 6] == (None, None) and len({x for pair in got.values() for x in pair if x}) == 4
+
+
+def test_ambiguous_task_names_determine_nothing(spark):
+    from episoda.operators import repair
+
+    meta = spark.createDataFrame([("d", 1, ["a"]), ("d", 2, ["b"]), ("d", 3, ["a", "b"]), ("d", 4, None)], "dataset string, episode_index bigint, tasks array<string>")
+    tasks = spark.createDataFrame([("a", 0), ("a", 1), ("b", 2), ("b", 2)], "task string, task_index bigint")
+    assert [(r.episode_index, r.expected_task) for r in repair.expected_tasks(meta, tasks).collect()] == [(2, 2)]

@@ -143,3 +143,10 @@ def test_pixel_measures_of_known_images():
 @settings(max_examples=15, deadline=None)
 def test_resample_keeps_constant_images(n):
     assert (pixels.resample(np.full((n, n + 3), 77.0), 8) == 77).all()
+
+
+@pytest.mark.parametrize("channels", [1, 3, 4])
+def test_channels_are_those_stored(channels):
+    from episoda.functions import pixels
+
+    assert pixels.measures(np.full((9, 9, channels), 77, np.uint8))["channels"] == channels
