@@ -2,8 +2,9 @@
 
 Bytes are embedded, filters of 8 bytes run over the text every 4 bytes, and their rectified responses are max-pooled over overlapping chunks
 (256 bytes, half of them shared with the next chunk) that cover the whole document. A small dense layer describes each chunk; chunk
-descriptions are max-pooled and averaged over the document and combined into one probability. Training looks at `sample` labelled documents
-at most, and of each at `chunks_a_document` chunks spread over the whole of it: 16 MB with the usual parameters, however long the texts are.
+descriptions are max-pooled and averaged over the document and combined into one probability. Training reads whole texts too: of at most
+`sample` labelled documents, in the order of a hash of their ids, those that together hold at most `sample_bytes` (a document that no longer
+fits is passed over, shorter ones after it are not), so the driver's memory is bounded however long the texts are.
 Scoring reads every byte of every text, long ones window by window with a running maximum and sum, so memory does not grow with a text.
 
 Defined results: null or empty text is one chunk of zero bytes and gets a score like any other; without labelled rows of both kinds every
@@ -28,10 +29,10 @@ from episoda.llm import common
 CHUNK, HOP, STRIDE = 256, 128, 4
 EMBED, FILTERS, HIDDEN = 8, 40, 24
 FOLDS, THRESHOLD = 5, 0.3
-SAMPLE, CHUNKS_A_DOCUMENT, EPOCHS = 8000, 8, 12
+SAMPLE, SAMPLE_BYTES, EPOCHS = 8000, 16 << 20, 12
 
 _HALF = HOP // STRIDE  # filter positions in half a chunk
-_WINDOW = 2048  # chunks of a long text that are looked at together
+_WINDOW = 2048  # chunks that are looked at together
 
 
 def _blocks(raw: bytes) -> np.ndarray:
@@ -108,43 +109,57 @@ class Network:
                 doc[k] = self._long(r)
         return 1 / (1 + np.exp(-np.clip(doc @ p["out"].astype(np.float64) + p["level"].astype(np.float64), -30, 30)))
 
-    def gradients(self, chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean logistic loss and gradients; chunks (documents, chunks, CHUNK) of bytes, fill and valid (documents, chunks)."""
-        p, (n, c, _), kind = self.p, chunks.shape, self.p["embed"].dtype
-        cells = p["embed"][chunks].reshape(n * c, CHUNK // STRIDE, EMBED * STRIDE)
-        conv = cells[:, :-1] @ p["left"] + cells[:, 1:] @ p["right"] + p["shift"]
-        where = conv.argmax(1)
-        peak = np.take_along_axis(conv, where[:, None], 1)[:, 0]
-        x = np.concatenate([np.maximum(peak, 0), fill.reshape(-1, 1)], 1).astype(kind)
-        h = np.maximum(x @ p["dense"] + p["bias"], 0).reshape(n, c, HIDDEN)
-        masked = np.where(valid[:, :, None], h, -1)
-        top = masked.argmax(1)
-        most = np.take_along_axis(masked, top[:, None], 1)[:, 0]
-        share = (valid / valid.sum(1, keepdims=True)).astype(kind)
-        doc = np.concatenate([most, (h * share[:, :, None]).sum(1)], 1)
+    def gradients(self, chunks: np.ndarray, fill: np.ndarray, starts: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean logistic loss and gradients; chunks (all chunks, CHUNK) of bytes and their fill, text after text, each beginning at its start."""
+        p, kind, m, n = self.p, self.p["embed"].dtype, len(chunks), len(starts)
+        windows = [slice(s, s + _WINDOW) for s in range(0, m, _WINDOW)]
+        where, peak = np.empty((m, FILTERS), np.int64), np.empty((m, FILTERS), kind)
+        for w in windows:
+            cells = p["embed"][chunks[w]].reshape(-1, CHUNK // STRIDE, EMBED * STRIDE)
+            conv = cells[:, :-1] @ p["left"] + cells[:, 1:] @ p["right"] + p["shift"]
+            where[w] = conv.argmax(1)
+            peak[w] = np.take_along_axis(conv, where[w][:, None], 1)[:, 0]
+        x = np.concatenate([np.maximum(peak, 0), fill[:, None]], 1).astype(kind)
+        h = np.maximum(x @ p["dense"] + p["bias"], 0)
+        sizes = np.diff(np.append(starts, m))
+        owner = np.repeat(np.arange(n), sizes)
+        most = np.maximum.reduceat(h, starts)
+        top = np.minimum.reduceat(np.where(h == most[owner], np.arange(m)[:, None], m), starts)  # the first chunk of each text that has it
+        doc = np.concatenate([most, np.add.reduceat(h, starts) / sizes[:, None]], 1).astype(kind)
         q = 1 / (1 + np.exp(-np.clip(doc @ p["out"] + p["level"], -30, 30)))
         loss = float(-(y * np.log(q + 1e-9) + (1 - y) * np.log(1 - q + 1e-9)).mean())
         d = ((q - y) / n).astype(kind)
         g = {"out": doc.T @ d, "level": d.sum(keepdims=True)}
-        dh = d[:, None, None] * p["out"][HIDDEN:] * share[:, :, None]
-        np.put_along_axis(dh, top[:, None], np.take_along_axis(dh, top[:, None], 1) + (d[:, None] * p["out"][:HIDDEN])[:, None], 1)
-        dh = (dh * (h > 0)).reshape(n * c, HIDDEN)
+        dh = ((d / sizes)[owner][:, None] * p["out"][HIDDEN:]).astype(kind)
+        dh[top, np.arange(HIDDEN)] += d[:, None] * p["out"][:HIDDEN]
+        dh *= h > 0
         g["dense"], g["bias"] = x.T @ dh, dh.sum(0)
         dp = (dh @ p["dense"][:FILTERS].T) * (peak > 0)
         g["shift"] = dp.sum(0)
-        rows = np.arange(n * c)[:, None]
-        left, right = cells[rows, where], cells[rows, where + 1]  # (chunks, filters, cell)
-        g["left"] = np.einsum("rfk,rf->kf", left, dp, optimize=True)
-        g["right"] = np.einsum("rfk,rf->kf", right, dp, optimize=True)
-        back = np.concatenate([dp[:, :, None] * p["left"].T, dp[:, :, None] * p["right"].T], 2).reshape(-1, EMBED)
-        first = where * STRIDE
-        hit = chunks.reshape(n * c, CHUNK)[rows[:, :, None], first[:, :, None] + np.arange(2 * STRIDE)].ravel()
-        g["embed"] = np.stack([np.bincount(hit, back[:, k], 256) for k in range(EMBED)], 1).astype(kind)
+        filters = np.concatenate([p["left"].T, p["right"].T], 1)
+        by_filter, g["embed"] = np.zeros_like(filters), np.zeros_like(p["embed"])
+        for w in windows:
+            rows = np.arange(len(chunks[w]))[:, None, None]
+            hit = chunks[w][rows, where[w][:, :, None] * STRIDE + np.arange(2 * STRIDE)]  # the bytes under each filter's best place
+            by_filter += np.einsum("rfk,rf->fk", p["embed"][hit].reshape(len(hit), FILTERS, -1), dp[w], optimize=True)
+            back = (dp[w][:, :, None] * filters).reshape(-1, EMBED)
+            g["embed"] += np.stack([np.bincount(hit.ravel(), back[:, k], 256) for k in range(EMBED)], 1).astype(kind)
+        g["left"], g["right"] = by_filter[:, : EMBED * STRIDE].T, by_filter[:, EMBED * STRIDE :].T
         return loss, g
 
 
-def train(chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 4e-3, decay: float = 1e-4, seed: int = 1) -> Network:
-    """Adam over shuffled batches with a falling rate; small samples run through more epochs."""
+def _batch(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All chunks of some texts, the share of each that the text fills, and where each text's begin."""
+    halves = [_blocks(r).reshape(-1, HOP) for r in raws]
+    counts = np.array([len(b) - 1 for b in halves])
+    chunks = np.concatenate([np.concatenate([b[:-1], b[1:]], 1) for b in halves])
+    starts = np.cumsum(counts) - counts
+    left = np.repeat([len(r) for r in raws], counts) - (np.arange(len(chunks)) - np.repeat(starts, counts)) * HOP
+    return chunks, np.clip(left / CHUNK, 0, 1).astype(np.float32), starts
+
+
+def train(raws: list[bytes], y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 4e-3, decay: float = 1e-4, seed: int = 1) -> Network:
+    """Adam over shuffled batches of whole texts with a falling rate; small samples run through more epochs."""
     net, rng = Network(seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
@@ -155,7 +170,7 @@ def train(chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray
         order = rng.permutation(n)
         for at in range(0, n, batch):
             own = order[at : at + batch]
-            _, g = net.gradients(chunks[own], fill[own], valid[own], y[own])
+            _, g = net.gradients(*_batch([raws[k] for k in own]), y[own])
             t += 1
             now = rate * (1 - t / (steps + 1))
             for k, x in net.p.items():
@@ -165,32 +180,26 @@ def train(chunks: np.ndarray, fill: np.ndarray, valid: np.ndarray, y: np.ndarray
     return net
 
 
-def _sample_chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Up to `most` chunks of each training document, spread over the whole of it, with the bytes each holds."""
-    for batch in common.slices(batches, "text"):
-        rows = []
-        for raw in common.raw_texts(batch):
-            blocks = _blocks(raw)
-            n = len(blocks) // HOP - 1
-            at = np.unique(np.linspace(0, n - 1, min(n, most)).round().astype(int)) * HOP
-            rows.append((b"".join(blocks[a : a + CHUNK].tobytes() for a in at), [min(CHUNK, max(0, len(raw) - int(a))) for a in at]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["doc_id", "y", "chunks", "fill"])
+def _fitting(sizes: list, most: int) -> list[tuple]:
+    """The ids, in the order of their hashes, of the documents that together hold at most `most` bytes."""
+    out, held = [], 0
+    for r in sorted(sizes, key=lambda r: (r.place, r.doc_id)):
+        if held + r.bytes <= most:
+            out.append((r.doc_id,))
+            held += r.bytes
+    return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chunks_a_document: int = CHUNKS_A_DOCUMENT) -> Network | None:
-    """Train on at most `sample` labelled documents whose fold is not held out; None without both labels."""
-    rows = common.labelled_sample(docs, labels, "quality", common.bucket_of("doc_id", FOLDS) == 0, sample)
-    got = rows.mapInArrow(partial(_sample_chunks, most=chunks_a_document), "doc_id long, y int, chunks binary, fill array<int>").collect()  # sample x chunks x 256 bytes at most
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
+    """Train on the whole texts of at most `sample` labelled documents, `sample_bytes` together, whose fold is not held out; None without both labels."""
+    rows = common.materialise(common.labelled_sample(docs, labels, "quality", common.bucket_of("doc_id", FOLDS) == 0, sample), "quality-sample")
+    sizes = rows.select("doc_id", F.xxhash64("doc_id").alias("place"), F.octet_length("text").alias("bytes")).collect()  # `sample` rows of three numbers
+    ids = docs.sparkSession.createDataFrame(_fitting(sizes, sample_bytes), rows.select("doc_id").schema)  # `sample` ids at most
+    got = rows.join(F.broadcast(ids), "doc_id", "left_semi").collect()  # `sample_bytes` of text at most
     if len({r.y for r in got}) < 2:
         return None
-    got.sort(key=lambda r: (r.doc_id, r.y, bytes(r.chunks)))
-    chunks = np.zeros((len(got), chunks_a_document, CHUNK), np.uint8)
-    fill = np.zeros((len(got), chunks_a_document), np.float32)
-    valid = np.zeros((len(got), chunks_a_document), bool)
-    for k, r in enumerate(got):
-        own = np.frombuffer(r.chunks, np.uint8).reshape(-1, CHUNK)
-        chunks[k, : len(own)], fill[k, : len(own)], valid[k, : len(own)] = own, np.array(r.fill) / CHUNK, True
-    return train(chunks, fill, valid, np.array([r.y for r in got], np.float32))
+    got.sort(key=lambda r: r.doc_id)
+    return train([r.text.encode() for r in got], np.array([r.y for r in got], np.float32))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, column: str) -> Iterator[pa.RecordBatch]:

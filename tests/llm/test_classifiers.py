@@ -28,13 +28,17 @@ def frames(spark, rows):
     return docs, spark.createDataFrame([(i, y, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
 
 
-def test_network_gradients_are_right():
+def test_network_gradients_are_right(monkeypatch):
     rng = np.random.default_rng(0)
     net = quality.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    chunks = rng.integers(0, 256, (5, 3, quality.CHUNK)).astype(np.uint8)
-    fill, valid, y = rng.random((5, 3)), np.array([[1, 1, 1], [1, 0, 0], [1, 1, 0], [1, 1, 1], [1, 1, 0]], bool), np.array([0, 1, 1, 0, 1.0])
-    _, g = net.gradients(chunks, fill, valid, y)
+    monkeypatch.setattr(quality, "_WINDOW", 4)  # several windows of chunks, one of which ends within a text
+    raws, y = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (500, 0, 300, 470, 130)], np.array([0, 1, 1, 0, 1.0])
+    chunks, fill, starts = quality._batch(raws)
+    assert len(chunks) == 3 + 1 + 2 + 3 + 1
+    loss, g = net.gradients(chunks, fill, starts, y)
+    slow = np.array([slow_quality(net, r) for r in raws])
+    assert loss == pytest.approx(-(y * np.log(slow) + (1 - y) * np.log(1 - slow)).mean(), abs=1e-6)
     for k, v in net.p.items():
         for at in rng.choice(v.size, min(4, v.size), replace=False):
             place = np.unravel_index(int(at), v.shape)
@@ -42,7 +46,7 @@ def test_network_gradients_are_right():
             ends = []
             for d in (1e-5, -1e-5):
                 v[place] = was + d
-                ends.append(net.gradients(chunks, fill, valid, y)[0])
+                ends.append(net.gradients(chunks, fill, starts, y)[0])
             v[place] = was
             assert g[k][place] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=2e-4, rel=2e-2)
 
@@ -106,6 +110,21 @@ def test_quality_learns_and_filters(spark):
     assert quality.fit(docs, labels).p["out"] == pytest.approx(net.p["out"])  # the same sample gives the same network
 
 
+def test_training_reads_whole_texts_within_its_bounds(spark):
+    """What tells good from bad stands behind the first 20 KB; rows beyond the bytes are passed over, shorter ones after them are not."""
+    rng = random.Random(3)
+    head = lambda: " ".join(rng.choice(["river", "stone", "window", "garden"]) for _ in range(3400))
+    rows = [(i, head() + (" and so on" if i % 2 else " $$$ %%% ###") * 40, i % 2) for i in range(60)]
+    docs, labels = frames(spark, rows)
+    net = quality.fit(docs, labels)
+    assert np.mean([(net.score([t.encode()])[0] >= 0.5) == y for i, t, y in rows if held_out(i, 5, 0)]) > 0.9
+    from collections import namedtuple
+
+    row = namedtuple("row", "doc_id place bytes")
+    assert quality._fitting([row(1, 9, 5), row(2, -4, 6), row(3, 0, 50), row(4, 2, 4), row(5, 2, 0)], 12) == [(2,), (4,), (5,)]
+    assert quality.fit(docs, labels, sample_bytes=10) is None and quality.fit(docs, labels, sample=1) is None
+
+
 def test_classifiers_never_look_at_held_out_labels(spark):
     rows = corpus(200, good_or_bad)
     docs, labels = frames(spark, rows)
