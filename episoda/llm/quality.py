@@ -29,10 +29,11 @@ from episoda.llm import common
 CHUNK, HOP, STRIDE = 256, 128, 4
 EMBED, FILTERS, HIDDEN = 8, 40, 24
 FOLDS, THRESHOLD = 5, 0.3
-SAMPLE, SAMPLE_BYTES, EPOCHS = 8000, 16 << 20, 12
+SAMPLE, SAMPLE_BYTES, EPOCHS, BATCH = 8000, 16 << 20, 4, 16
 
 _HALF = HOP // STRIDE  # filter positions in half a chunk
-_WINDOW = 2048  # chunks that are looked at together
+_WINDOW = 2048  # chunks of a long text that are looked at together
+_TRAINED = 128  # chunks that training looks at together: their intermediate results stay in the processor's cache
 
 
 def _blocks(raw: bytes) -> np.ndarray:
@@ -112,7 +113,7 @@ class Network:
     def gradients(self, chunks: np.ndarray, fill: np.ndarray, starts: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean logistic loss and gradients; chunks (all chunks, CHUNK) of bytes and their fill, text after text, each beginning at its start."""
         p, kind, m, n = self.p, self.p["embed"].dtype, len(chunks), len(starts)
-        windows = [slice(s, s + _WINDOW) for s in range(0, m, _WINDOW)]
+        windows = [slice(s, s + _TRAINED) for s in range(0, m, _TRAINED)]
         where, peak = np.empty((m, FILTERS), np.int64), np.empty((m, FILTERS), kind)
         for w in windows:
             cells = p["embed"][chunks[w]].reshape(-1, CHUNK // STRIDE, EMBED * STRIDE)
@@ -158,13 +159,13 @@ def _batch(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chunks, np.clip(left / CHUNK, 0, 1).astype(np.float32), starts
 
 
-def train(raws: list[bytes], y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 4e-3, decay: float = 1e-4, seed: int = 1) -> Network:
+def train(raws: list[bytes], y: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = 4e-3, decay: float = 1e-4, seed: int = 1) -> Network:
     """Adam over shuffled batches of whole texts with a falling rate; small samples run through more epochs."""
     net, rng = Network(seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     n = len(y)
-    epochs = max(epochs, min(60, 20_000 // max(1, n)))
+    epochs = max(epochs, min(60, 8000 // max(1, n)))
     steps, t = epochs * -(-n // batch), 0
     for _ in range(epochs):
         order = rng.permutation(n)

@@ -32,7 +32,7 @@ def test_network_gradients_are_right(monkeypatch):
     rng = np.random.default_rng(0)
     net = quality.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    monkeypatch.setattr(quality, "_WINDOW", 4)  # several windows of chunks, one of which ends within a text
+    monkeypatch.setattr(quality, "_TRAINED", 4)  # several windows of chunks, one of which ends within a text
     raws, y = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (500, 0, 300, 470, 130)], np.array([0, 1, 1, 0, 1.0])
     chunks, fill, starts = quality._batch(raws)
     assert len(chunks) == 3 + 1 + 2 + 3 + 1
