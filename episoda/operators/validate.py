@@ -44,14 +44,26 @@ def leave_one_out(df: DataFrame, key: str, value: str, q: float, floor: float, m
     return x.join(limits, key).groupBy(key).agg(F.count("*").alias("n"), F.first("threshold").alias("threshold"), F.count_if(F.col("x") > F.col("threshold")).alias("flagged"))
 
 
-def fault_metrics(report: DataFrame, truth: DataFrame, categories: tuple[str, ...] = ("temporal", "synchronisation", "content", "value")) -> DataFrame:
-    """Precision, recall and F1 of flagged episodes, overall and by category. truth(episode_index, categories array) names the faults."""
+CATEGORIES = ("temporal", "synchronisation", "content", "value")
+
+
+def judged(report: DataFrame, truth: DataFrame, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
+    """A row (episode_index, scope, truth, predicted) of each episode overall and by category. truth(episode_index, categories array) names the faults."""
     joined = report.select("episode_index", "issue_categories").join(truth.select("episode_index", F.col("categories").alias("true_categories")), "episode_index", "left")
     joined = joined.withColumn("true_categories", F.coalesce("true_categories", F.array().cast("array<string>")))
     parts = [F.struct(F.lit("overall").alias("scope"), (F.size("true_categories") > 0).alias("truth"), (F.size("issue_categories") > 0).alias("predicted"))]
     parts += [F.struct(F.lit(c).alias("scope"), F.array_contains("true_categories", c).alias("truth"), F.array_contains("issue_categories", c).alias("predicted")) for c in categories]
-    long = joined.select("episode_index", F.explode(F.array(*parts)).alias("x")).select("episode_index", "x.*")
-    return binary_metrics(long, F.col("truth"), F.col("predicted"), ["scope"])
+    return joined.select("episode_index", F.explode(F.array(*parts)).alias("x")).select("episode_index", "x.*")
+
+
+def fault_metrics(report: DataFrame, truth: DataFrame, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
+    """Precision, recall and F1 of flagged episodes, overall and by category."""
+    return binary_metrics(judged(report, truth, categories), F.col("truth"), F.col("predicted"), ["scope"])
+
+
+def fault_intervals(report: DataFrame, truth: DataFrame, categories: tuple[str, ...] = CATEGORIES, draws: int = 2000) -> DataFrame:
+    """95 % intervals of what `fault_metrics` gives, overall and by category."""
+    return bootstrap(judged(report, truth, categories), "truth", "predicted", draws, by="scope")
 
 
 def frame_metrics(flags: DataFrame, truth_rows: DataFrame, evaluable: DataFrame) -> DataFrame:
@@ -61,29 +73,31 @@ def frame_metrics(flags: DataFrame, truth_rows: DataFrame, evaluable: DataFrame)
     return binary_metrics(joined, F.col("_t").isNotNull(), F.size("issue_codes") > 0)
 
 
-def bootstrap(df: DataFrame, truth: str, predicted: str, draws: int = 2000, seed: int = 20260827) -> DataFrame:
-    """metric, low, high: 95 % percentile interval of precision, recall and F1 over resampled episodes.
+def bootstrap(df: DataFrame, truth: str, predicted: str, draws: int = 2000, seed: int = 20260827, by: str | None = None) -> DataFrame:
+    """metric, low, high, draws: 95 % percentile interval of precision, recall and F1 over resampled rows; of each value of `by`, if one is named.
 
-    The metrics depend on the four cell counts only, and resampling n rows draws those counts from a multinomial: the counts (four numbers)
-    are all that is gathered, and the draws are split over tasks by seed. Draws without both classes in the truth are skipped.
+    The metrics depend on the four cell counts only, and resampling n rows draws those counts from a multinomial: the counts (four numbers
+    of each value of `by`, which is to be a short catalogue) are all that is gathered, and the draws are split over tasks by seed. Draws
+    without both classes in the truth are skipped.
     """
     t, p = F.col(truth), F.col(predicted)
-    cells = df.agg(F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(~t & ~p).alias("tn")).first()
-    counts = np.array([cells.tp, cells.fp, cells.fn, cells.tn], float)
+    cells = df.groupBy(*([F.col(by).cast("string").alias("scope")] if by else [F.lit("").alias("scope")]))
+    cells = cells.agg(F.count_if(t & p), F.count_if(~t & p), F.count_if(t & ~p), F.count_if(~t & ~p)).collect()
+    counts = sorted(((r[0], np.array(r[1:], float)) for r in cells if sum(r[1:])), key=lambda x: (x[0] is not None, x[0] or ""))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ratio = lambda a, c: a / c if c else 0.0
         for b in batches:
             rows = []
             for i in b["id"]:
-                if not counts.sum():
-                    continue
-                tp, fp, fn, tn = np.random.default_rng(seed + int(i)).multinomial(int(counts.sum()), counts / counts.sum())
-                if tp + fn == 0 or fp + tn == 0:
-                    continue
-                ratio = lambda a, c: a / c if c else 0.0
-                rows.append((ratio(tp, tp + fp), ratio(tp, tp + fn), ratio(2 * tp, 2 * tp + fp + fn)))
-            yield pd.DataFrame(rows, columns=["precision", "recall", "f1"])
-
-    drawn = df.sparkSession.range(draws).mapInPandas(draw, "precision double, recall double, f1 double")
-    long = drawn.unpivot([], ["precision", "recall", "f1"], "metric", "v")
-    return long.groupBy("metric").agg(F.percentile("v", F.lit(0.025)).alias("low"), F.percentile("v", F.lit(0.975)).alias("high"), F.count("*").alias("draws"))
+                rng = np.random.default_rng(seed + int(i))
+                for scope, own in counts:
+                    tp, fp, fn, tn = rng.multinomial(int(own.sum()), own / own.sum())
+                    if tp + fn and fp + tn:
+                        rows.append((scope, ratio(tp, tp + fp), ratio(tp, tp + fn), ratio(2 * tp, 2 * tp + fp + fn)))
+            yield pd.DataFrame(rows, columns=["scope", "precision", "recall", "f1"])
+
+    drawn = df.sparkSession.range(draws).mapInPandas(draw, "scope string, precision double, recall double, f1 double")
+    long = drawn.unpivot(["scope"], ["precision", "recall", "f1"], "metric", "v")
+    out = long.groupBy("scope", "metric").agg(F.percentile("v", F.lit(0.025)).alias("low"), F.percentile("v", F.lit(0.975)).alias("high"), F.count("*").alias("draws"))
+    return out.withColumnRenamed("scope", by) if by else out.drop("scope")

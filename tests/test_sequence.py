@@ -90,6 +90,34 @@ def test_bootstrap_interval_contains_the_measure(spark):
     assert got["precision"][0] < 100 / 120 < got["precision"][1] and got["recall"] == (1.0, 1.0)
 
 
+def test_bootstrap_by_category_equals_resampled_rows(spark):
+    """Against a bootstrap that draws the rows themselves; a category without both classes has no interval."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    report, truth = [], []
+    for i in range(120):
+        faulty, found = rng.random() < 0.4, rng.random()
+        truth.append((i, ["value"] if faulty else []))
+        report.append((i, ["value"] if found < (0.8 if faulty else 0.2) else []))
+    kind = "episode_index bigint, {} array<string>"
+    r, t = spark.createDataFrame(report, kind.format("issue_categories")), spark.createDataFrame(truth[:110], kind.format("categories"))
+    got = {(x.scope, x.metric): (x.low, x.high, x.draws) for x in validate.fault_intervals(r, t, ("value", "content"), 1500).collect()}
+    assert {k[0] for k in got} == {"overall", "value"} and len(got) == 6
+    y = np.array([bool(c) and i < 110 for i, c in truth])
+    p = np.array([bool(c) for _, c in report])
+    drawn = []
+    for _ in range(3000):
+        k = rng.integers(0, 120, 120)
+        tp, fp, fn = (y[k] & p[k]).sum(), (~y[k] & p[k]).sum(), (y[k] & ~p[k]).sum()
+        drawn.append((tp / (tp + fp), tp / (tp + fn), 2 * tp / (2 * tp + fp + fn)))
+    for m, want in zip(("precision", "recall", "f1"), np.percentile(drawn, [2.5, 97.5], axis=0).T, strict=True):
+        for scope in ("overall", "value"):
+            assert np.allclose(got[scope, m][:2], want, atol=0.04) and got[scope, m][2] == 1500
+    none = spark.createDataFrame([], "t boolean, p boolean, s string")
+    assert validate.bootstrap(none, "t", "p", 10, by="s").columns == ["s", "metric", "low", "high", "draws"] and validate.bootstrap(none, "t", "p", 10, by="s").count() == 0
+
+
 def test_lag_correlation_finds_a_shift(spark):
     import numpy as np
 
