@@ -16,10 +16,9 @@ from episoda.operators.statistics import binary_metrics
 def leave_one_out(df: DataFrame, key: str, value: str, q: float, floor: float, margin: float) -> DataFrame:
     """Per held-out key: n rows, the threshold from all other keys, and how many of its own rows are over it.
 
-    A quantile that leaves a key out needs no join of every key with every other: a row above the global cut cannot be displaced by more rows
-    than the largest key has, so only each key's own rows and the global order are needed. The order statistics of the others around the
-    quantile's place are found among the top ranks: the rank of a row among the others is its global rank less the rows of the held-out key
-    above it.
+    A quantile that leaves a key out needs no join of every key with every other: the place j from the top among the others is the place j
+    plus the number of own rows above it in the order of all, and an own row is above it if fewer than j others are above that row. So each
+    key is joined with its own rows among the top ranks and then with the rows at the two places that its quantile lies between.
     """
     x = df.select(key, finite(F.col(value)).alias("x")).where("x IS NOT NULL")
     sizes = x.groupBy(key).agg(F.count("*").alias("own"))
@@ -31,15 +30,16 @@ def leave_one_out(df: DataFrame, key: str, value: str, q: float, floor: float, m
         return sizes.select(key, F.col("own").alias("n"), F.lit(float(floor)).alias("threshold"), F.lit(0).cast("bigint").alias("flagged"))
     top = x.orderBy(F.desc("x"), key).limit(n_top.r)  # distributed top-k
     top = top.withColumn("_k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("x"), key)))  # n_top rows: the largest key and the tail
-    held = sizes.crossJoin(F.broadcast(total))
-    pairs = held.withColumnRenamed(key, "_held").join(top.withColumnRenamed(key, "_from"), F.col("_held") != F.col("_from"))  # reference episodes by their largest values
-    w = Window.partitionBy("_held").orderBy(F.desc("x"), "_from", "_k")
-    ranked = pairs.withColumn("r", F.row_number().over(w))
     others = F.col("total") - F.col("own")
     place = (others - 1) * (1 - q)  # from the top, counted from 0
     low, high = F.floor(place + 1e-9), F.ceil(place - 1e-9)
-    cut = ranked.groupBy("_held").agg(F.max(F.when(F.col("r") == low + 1, F.col("x"))).alias("a"), F.max(F.when(F.col("r") == high + 1, F.col("x"))).alias("b"), F.first(place - low).alias("f"))
-    limits = cut.select(F.col("_held").alias(key), F.greatest(F.lit(float(floor)), margin * (F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))).alias("threshold"))
+    wanted = sizes.crossJoin(F.broadcast(total)).select(key, (low + 1).alias("_low"), (high + 1).alias("_high"), (place - low).alias("f"))
+    above = F.col("_k") - F.row_number().over(Window.partitionBy(key).orderBy("_k"))  # rows of other keys above a row
+    near = wanted.join(top.select(key, above.alias("_above")), key, "left")
+    places = near.groupBy(key, "_low", "_high", "f").agg(F.count_if(F.col("_above") < F.col("_low")).alias("_l"), F.count_if(F.col("_above") < F.col("_high")).alias("_h"))
+    places = places.select(key, "f", (F.col("_low") + F.col("_l")).alias("_low"), (F.col("_high") + F.col("_h")).alias("_high"))
+    cut = places.join(top.select(F.col("_k").alias("_low"), F.col("x").alias("a")), "_low", "left").join(top.select(F.col("_k").alias("_high"), F.col("x").alias("b")), "_high", "left")
+    limits = cut.select(key, F.greatest(F.lit(float(floor)), margin * (F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))).alias("threshold"))
     limits = sizes.join(limits, key, "left").withColumn("threshold", F.coalesce("threshold", F.lit(float(floor))))
     return x.join(limits, key).groupBy(key).agg(F.count("*").alias("n"), F.first("threshold").alias("threshold"), F.count_if(F.col("x") > F.col("threshold")).alias("flagged"))
 
