@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from episoda.functions.scalars import finite
 from episoda.operators.sequence import frame_window, longest_run, runs
-from episoda.operators.statistics import population_z, quantile
+from episoda.operators.statistics import population_z, quantile, with_quantiles
 
 #: The grid of the freeze calibration.
 FROZEN_GRID, MOVING_GRID, RUN_GRID = (0.3, 0.5, 0.8, 1.2), (0.60, 0.70, 0.80), (20, 30, 45, 60)
@@ -38,10 +38,10 @@ def lag_correlation(series: DataFrame, keys: list[str], a: str, b: str, row: str
     return best.select(*keys, "n", F.coalesce(-F.col("_best.order"), F.lit(0)).alias("best_lag"), F.coalesce("_best.corr", F.lit(0.0)).alias("peak_corr"), F.coalesce(f"_l{most}", F.lit(0.0)).alias("zero_corr"))
 
 
-def moving(step: str, keys: list[str], q: float | Column) -> Column:
-    """Whether a step is above the episode's own quantile."""
-    cut = F.percentile(finite(F.col(step)), F.lit(q) if not isinstance(q, Column) else q).over(Window.partitionBy(*keys))
-    return F.coalesce(F.col(step) > cut, F.lit(False))
+def moving(df: DataFrame, step: str, keys: list[str], q: float, name: str = "moving") -> DataFrame:
+    """df with a column that tells whether a step is above the episode's own quantile."""
+    cut = with_quantiles(df, keys, step, {"_cut": q})
+    return cut.withColumn(name, F.coalesce(F.col(step) > F.col("_cut"), F.lit(False))).drop("_cut")
 
 
 def freeze_grid(series: DataFrame, keys: list[str], motion: str, step: str, row: str = "row", frozen: Sequence[float] = FROZEN_GRID, quantiles: Sequence[float] = MOVING_GRID) -> DataFrame:
@@ -51,10 +51,9 @@ def freeze_grid(series: DataFrame, keys: list[str], motion: str, step: str, row:
     """
     spark = series.sparkSession
     grid = spark.createDataFrame([(float(f), float(q)) for f in frozen for q in quantiles], "frozen_thr double, moving_q double")
-    cuts = {q: F.percentile(finite(F.col(step)), F.lit(q)).over(Window.partitionBy(*keys)) for q in quantiles}
-    base = series.withColumns({f"_cut{i}": c for i, c in enumerate(cuts.values())})
+    base = with_quantiles(series, keys, step, {f"_cut{i}": q for i, q in enumerate(quantiles)})
     crossed = base.crossJoin(F.broadcast(grid))  # 12 rows on the right
-    cut = F.coalesce(*[F.when(F.col("moving_q") == q, F.col(f"_cut{i}")) for i, q in enumerate(cuts)])
+    cut = F.coalesce(*[F.when(F.col("moving_q") == q, F.col(f"_cut{i}")) for i, q in enumerate(quantiles)])
     still = F.coalesce(F.col(motion) < F.col("frozen_thr"), F.lit(False))
     crossed = crossed.withColumns({"_frozen": still, "_both": still & F.coalesce(F.col(step) > cut, F.lit(False))})
     own = [*keys, "frozen_thr", "moving_q"]
@@ -74,7 +73,7 @@ def choose_freeze(grid: DataFrame, run_lengths: Sequence[int] = RUN_GRID) -> Dat
 
 def freeze_intervals(series: DataFrame, keys: list[str], motion: str, step: str, frozen_thr: float, moving_q: float, run_len: int, row: str = "row") -> DataFrame:
     """Runs of at least run_len rows that stand still under motion; rows missing from the series are bridged."""
-    both = series.withColumn("_both", F.coalesce(F.col(motion) < frozen_thr, F.lit(False)) & moving(step, keys, moving_q))
+    both = moving(series, step, keys, moving_q, "_moving").withColumn("_both", F.coalesce(F.col(motion) < frozen_thr, F.lit(False)) & F.col("_moving"))
     return runs(both, keys, F.col("_both"), row, positional=True).where(F.col("frame_count") >= run_len)
 
 

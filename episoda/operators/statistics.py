@@ -13,6 +13,27 @@ def quantile(value: Column, q: float) -> Column:
     return F.percentile(finite(value), F.lit(q))
 
 
+def with_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """df with a column for each name: that exact linear-interpolated quantile of the finite values within keys, null without any.
+
+    Between its neighbours a and b a quantile is fma(1 - t, a, t * b), rounded as DuckDB's quantile_cont rounds it: steps that differ in their
+    last bit only are then on the same side of it. `percentile` rounds the two products apart. All windows share the keys' shuffle.
+    """
+    x, w = finite(F.col(value)), Window.partitionBy(*keys)
+    ranked = df.withColumns({"_rank": F.row_number().over(w.orderBy(x.asc_nulls_last())) - 1, "_last": F.count(x).over(w) - 1})
+    place = {n: F.lit(float(q)) * F.col("_last") for n, q in quantiles.items()}
+    at = lambda p: F.max(F.when(F.col("_rank") == p, x)).over(w)
+    near = ranked.withColumns({f"_{side}_{n}": at(f(p)) for n, p in place.items() for side, f in (("a", F.floor), ("b", F.ceil))})
+    fused = {n: _fma(1 - (p - F.floor(p)), F.col(f"_a_{n}"), (p - F.floor(p)) * F.col(f"_b_{n}")) for n, p in place.items()}
+    return near.withColumns(fused).drop("_rank", "_last", *[f"_{side}_{n}" for n in quantiles for side in "ab"])
+
+
+def _fma(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c rounded once; null where b is. Catalyst has no such expression; a double's text is read back as the same double."""
+    none = F.lit(0.0)
+    return F.when(b.isNotNull(), F.reflect(F.lit("java.lang.Math"), F.lit("fma"), *[F.coalesce(v.cast("double"), none) for v in (a, b, c)]).cast("double"))
+
+
 def robust(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """keys with {name}_n, _median, _mad, _p01, _p99 of the finite values. The deviation needs the median first: one shuffle serves both passes."""
     x = finite(F.col(value))

@@ -282,7 +282,7 @@ def motion_join_moving_cut(spark, sf):
     ev = s.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     per = lambda kind, name: ev.where(F.col("event_type") == kind).groupBy("user_id", "day").agg(F.sum("value").alias(name))
     m = per("click", "motion").join(per("view", "step"), ["user_id", "day"])
-    m = m.withColumn("moving", crossmodal.moving("step", USER, 0.6))
+    m = crossmodal.moving(m, "step", USER, 0.6)
     return m.groupBy("user_id").agg(F.count("*").alias("days"), F.count_if("moving").alias("moving_days"), r6(F.avg("motion"), "motion_mean"))
 
 

@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -135,6 +136,26 @@ def test_freeze_choice_needs_a_margin(spark):
     assert crossmodal.choose_freeze(g.where("max_run > 20")).count() == 0
 
 
+def test_moving_cut_is_rounded_as_in_sql(spark):
+    """Two steps that differ in their last bit beside the cut, as those of user 363 at sf0.1; and random steps against quantile_cont, a user without any among them."""
+    steps = [0.01 * i for i in range(32)] + [32.15, 32.150000000000006] + [33.05 + i for i in range(21)]
+    df = spark.createDataFrame([(1, i, 0.0, v) for i, v in enumerate(steps)], "e bigint, row bigint, motion double, step double")
+    grid = {r.moving_q: r for r in crossmodal.freeze_grid(df, ["e"], "motion", "step").where("frozen_thr = 0.3").collect()}
+    assert (grid[0.6].both_frames, grid[0.6].max_run) == (22, 22)
+    assert crossmodal.moving(df, "step", ["e"], 0.6).where("moving").count() == 22
+    assert crossmodal.freeze_intervals(df, ["e"], "motion", "step", 0.3, 0.6, 22).count() == 1
+
+    rng = random.Random(5)
+    rows = [(e, abs(rng.randrange(9000) / 100 - rng.randrange(9000) / 100)) for e in range(60) for _ in range(1 + 3 * e)] + [(60, None), (61, None), (61, 0.3)]
+    want = duckdb.connect()
+    want.execute("CREATE TABLE t (e BIGINT, x DOUBLE)")
+    want.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    qs = {f"q{i}": q for i, q in enumerate((0.5, 0.6, 0.7, 0.8, 0.01, 0.999))}
+    got = statistics.with_quantiles(spark.createDataFrame(rows, "e bigint, x double"), ["e"], "x", qs)
+    assert got.columns == ["e", "x", *qs] and got.count() == len(rows)
+    assert sorted(map(tuple, got.drop("x").distinct().collect())) == sorted(want.execute("SELECT e, " + ", ".join(f"quantile_cont(x, {q})" for q in qs.values()) + " FROM t GROUP BY e").fetchall())
+
+
 def test_freeze_code_is_appended_once_and_only_to_flagged(spark):
     rep = spark.createDataFrame([("t", 1, "review", ["X"]), ("t", 2, "pass", [])], "dataset string, episode_index bigint, status string, issue_codes array<string>")
     fr = rep.select("dataset", "episode_index")
