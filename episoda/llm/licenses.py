@@ -2,8 +2,10 @@
 
 A segment is a line, a paragraph of several lines, or the whole of a text of several paragraphs. Segments and templates are normalised alike
 (lower case, everything but letters and digits to single blanks) and compared as sets of word bigrams. A template of B bigrams can reach the
-threshold t only with segments of t/(2-t)*B to (2-t)/t*B bigrams; others are never compared. Everything is a DataFrame expression; the
-templates are literals of the expression, so there is neither a join nor a shuffle.
+threshold t only with segments of t/(2-t)*B to (2-t)/t*B bigrams, of which it shares t/(2-t)*B or more; others are never compared. A text as
+a whole has all bigrams of its segments, so it is cut into them only if it shares that many with some template; word pairs become strings
+only if templates have both words, or to count the bigrams of what is then left. Everything is a DataFrame expression; the templates are
+literals of the expression, so there is neither a join nor a shuffle.
 
 Defined results: null and empty texts have no segments; equal segments of a text are reported each; of equally good templates the first by
 name is reported; repeated rows are reported each; null ids are kept; a text of any length is scanned whole, with memory in proportion to
@@ -13,6 +15,7 @@ it; empty tables give no rows; further columns are ignored.
 from __future__ import annotations
 
 import json
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -60,41 +63,70 @@ def template_bigrams(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> list
 
 
 def _normal(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    """Lower case, letters and digits, line feeds where they were; everything else is blanks, of which several may follow each other."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z \n\p{L}\p{N}]+", " ")
 
 
 def segments(text: Column) -> Column:
     """array<struct<kind,place,body>>: lines, paragraphs of several lines, and the whole if it has several paragraphs."""
-    whole = F.coalesce(text, F.lit(""))
-    lines, paragraphs = F.split(whole, "\n"), F.split(whole, "\n\n")
     numbered = lambda parts, kind: F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("place"), x.alias("body")))
-    several = F.filter(numbered(paragraphs, "paragraph"), lambda x: F.contains(x["body"], F.lit("\n")))
-    all_of_it = F.filter(numbered(F.array(whole), "whole"), lambda x: F.size(paragraphs) > 1)
-    return F.concat(numbered(lines, "line"), several, all_of_it)
+
+    def longer(paragraphs: Column) -> Column:
+        several = F.filter(numbered(paragraphs, "paragraph"), lambda x: F.contains(x["body"], F.lit("\n")))
+        return F.concat(several, F.filter(numbered(F.array(text), "whole"), lambda x: F.size(paragraphs) > 1))
+
+    return F.concat(numbered(F.split(text, "\n"), "line"), F.flatten(F.transform(F.array(F.split(text, "\n\n")), longer)))
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """doc_id, kind, place, license, dice (6 decimals), bigrams for every segment of docs(doc_id, text) with a template at `threshold` or more."""
     known = template_bigrams(templates)
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    least = max(threshold - 1e-6, threshold / 2)  # the bounds leave room for the rounding of dice
+    low, high = least / (2 - least), (2 - least) / least
+    fewest, most = min((low * len(g) for _, g in known), default=1), max((high * len(g) for _, g in known), default=0)
+    grams = sorted({x for _, g in known for x in g})
+    vocabulary = sorted({w for x in grams for w in x.split(" ")})
     names = sorted({n for n, _ in known}, reverse=True)  # of equal scores the largest place wins
     literal = json.dumps([{"place": names.index(n), "size": len(g), "grams": g} for n, g in known])
     all_templates = F.from_json(F.lit(literal), "array<struct<place:int,size:int,grams:array<string>>>")  # folded to one constant
 
-    def best(grams: Column) -> Column:
-        n = F.size(grams)
-        near = F.filter(all_templates, lambda t: (n >= low * t["size"] - 1e-9) & (n <= high * t["size"] + 1e-9))
-        scored = F.transform(near, lambda t: F.struct(F.round(2.0 * F.size(F.array_intersect(grams, t["grams"])) / (n + t["size"]), 6).alias("dice"), t["place"].alias("at"), n.alias("bigrams")))
-        return F.array_max(F.filter(scored, lambda x: x["dice"] >= threshold))
+    def words_of(body: Column) -> Column:
+        return F.array_remove(F.split(F.replace(body, F.lit("\n"), F.lit(" ")), " "), "")
 
     # each step's value is bound to a lambda variable: it is computed once however often the next step uses it
-    def bigrams(words: Column) -> Column:
-        return F.array_distinct(F.transform(F.slice(words, 2, F.size(words)), lambda x, i: F.concat(F.get(words, i), F.lit(" "), x)))
-
-    rows = docs.select("doc_id", F.explode(segments(F.col("text"))).alias("s")).select("doc_id", "s.kind", "s.place", "s.body")
-    words = F.array(F.split(_normal(F.col("body")), " "))
-    found = F.transform(F.transform(words, bigrams), best)
-    rows = rows.select("doc_id", "kind", "place", F.explode(found).alias("best")).where(F.col("best").isNotNull())
+    def shared(words: Column) -> Column:
+        """The distinct bigrams that some template has. Only pairs of the templates' words become strings: most segments have none."""
+        pairs = F.transform(words, lambda x, i: F.when(x.isin(vocabulary) & F.get(words, i + 1).isin(vocabulary), F.concat(x, F.lit(" "), F.get(words, i + 1))))
+        return F.array_distinct(F.filter(pairs, lambda x: x.isin(grams)))
+
+    def reachable(hits: Column) -> Column:
+        """Whether a template shares enough bigrams for the threshold, had the segment no others."""
+        return (F.size(hits) >= fewest) & F.exists(all_templates, lambda t: F.size(F.array_intersect(t["grams"], hits)) >= low * t["size"])
+
+    def n_bigrams(words: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(F.slice(words, 2, F.size(words)), lambda x, i: F.concat(F.get(words, i), F.lit(" "), x))))
+
+    def scored(hits: Column, n: Column) -> Column:
+        near = F.filter(all_templates, lambda t: (n >= low * t["size"]) & (n <= high * t["size"]))
+        dice = F.transform(near, lambda t: F.struct(F.round(2.0 * F.size(F.array_intersect(t["grams"], hits)) / (n + t["size"]), 6).alias("dice"), t["place"].alias("at"), n.alias("bigrams")))
+        return F.filter(dice, lambda x: x["dice"] >= threshold)
+
+    def best(words: Column) -> Column:
+        # a text of more bigrams than any template allows shows it in its beginning, mostly; if not, all are counted
+        beginning = F.array(F.slice(words, 1, 4 * math.ceil(most) + 1))
+        likely = F.filter(F.array(shared(words)), lambda hits: reachable(hits) & F.exists(F.transform(beginning, n_bigrams), lambda n: n <= most))
+        return F.array_max(F.flatten(F.flatten(F.transform(likely, lambda hits: F.transform(F.array(n_bigrams(words)), lambda n: scored(hits, n))))))
+
+    def judged(segment: Column) -> Column:
+        return F.struct(segment["kind"].alias("kind"), segment["place"].alias("place"), F.array_max(F.transform(F.array(words_of(segment["body"])), best)).alias("best"))
+
+    def possible(text: Column) -> Column:
+        """A text has all bigrams of its segments: where no template is in reach of it, none is in reach of a segment."""
+        return F.exists(F.transform(F.array(words_of(text)), shared), reachable)
+
+    parts = F.flatten(F.transform(F.filter(F.array(_normal(F.col("text"))), possible), segments))
+    found = F.filter(F.transform(parts, judged), lambda x: x["best"].isNotNull())
+    rows = docs.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.kind", "s.place", "s.best")
     return rows.select("doc_id", "kind", "place", F.get(F.array(*[F.lit(n) for n in names]), F.col("best.at")).alias("license"), F.col("best.dice").alias("dice"), F.col("best.bigrams").alias("bigrams"))
 
 

@@ -187,3 +187,40 @@ def test_scan_equals_its_sql(spark):
     want = con.execute(queries.ORACLE_SQL["op9_license_scan"]).df()
     assert sorted(want.columns) == sorted(df.columns)
     assert sorted(map(tuple, df.select(*want.columns).collect())) == sorted(want.itertuples(index=False, name=None))
+
+
+def allocated(spark):
+    """Bytes that each task thread has allocated so far."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getThreadMXBean()
+    ids = [t for t in beans.getAllThreadIds() if (x := beans.getThreadInfo(t)) and "Executor task" in x.getThreadName()]
+    return {t: beans.getThreadAllocatedBytes(t) for t in ids}
+
+
+def test_scan_allocates_in_proportion(spark):
+    """A string for every word pair of every segment took 300 bytes a byte of text and let an executor's heap grow to its limit."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").crossJoin(spark.range(40)).select("doc_id", "text").repartition(8).cache()
+    size = docs.selectExpr("sum(octet_length(text))").first()[0]
+    assert licenses.scan(docs).count() == 40 * queries.op9_license_scan(spark, SF).count() > 0  # and the code is compiled
+    before = allocated(spark)
+    licenses.scan(docs).count()
+    used = sum(n - before.get(t, 0) for t, n in allocated(spark).items())
+    docs.unpersist()
+    assert size > 5e6 and 0 < used < 160 * size, used / size
+
+
+def test_scan_at_the_bounds(spark):
+    """Segments just in and just out of reach: words left out, put in, repeated and cut by lines, at several thresholds."""
+    rng, rows = random.Random(9), []
+    for _, t in licenses.TEMPLATES:
+        for _ in range(25):
+            w = t.split(" ")
+            for _ in range(rng.randint(0, 1 + len(w) // 4)):
+                i = rng.randrange(len(w))
+                w[i : i + rng.randint(0, 1)] = rng.choice(([], ["the"], ["License"], ["\u03a3\u03a3"], ["--"], [w[i], w[i]]))
+            body = "".join(x + rng.choice((" ", " ", " ", " ", "  ", "\n", " \n ", "\n\n", ", ", "\t", "\r\n")) for x in w)
+            rows.append((len(rows), rng.choice(("", "\n", "\n\n\n", "Some of the words.\n\n")) + body + rng.choice(("", "\n", "\n\n\nof the\n"))))
+        rows += [(len(rows) + k, x) for k, x in enumerate((" ".join([t] * 40), "\n\n".join([t] * 40), t + " rights" * 900, " ".join(map(str, range(900))) + "\n" + t))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for threshold in (0.3, 0.8, 1.0):
+        got = sorted((str(r.doc_id), r.kind, r.place, r.license, r.dice, r.bigrams) for r in licenses.scan(docs, threshold).collect())
+        assert got == slow_scan(rows, threshold) and len(got) > 50
